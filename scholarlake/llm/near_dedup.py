@@ -8,9 +8,9 @@
 2. Equal sets are one class. Classes meet in bands of four registers; in a band's bucket each class is
    compared with the bucket's smallest. The joint maximum-likelihood estimate from the registers,
    with the exact sizes, drops pairs far below the threshold; the others are confirmed on full sets.
-3. Links give components. Buckets that still hold several components get all their pairs between
-   components tried, in bounded blocks, by the registers and then on full sets, until no bucket gives a
-   new link. So a bucket of copies costs one comparison a member, and no link between bucket mates is lost.
+3. Links give components. Buckets that still hold several components get their pairs between components
+   tried in bounded cells, each pair in its first shared band: by the registers, then on the upper
+   halves of all hashes. A cell gives links, not candidates; they are confirmed on full sets. So a bucket of copies costs one comparison a member, and no link between bucket mates is lost.
 
 A pair at the threshold misses all bands with a probability below 1e-10 (0.85) or 1e-7 (0.8).
 
@@ -24,13 +24,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, free_name, mix, row_key, stored, text_chunks, word_spans
+from .common import ascii_lower, free_name, mix, row_key, shuffles, stored, text_chunks, word_spans
 
 REGISTERS, BAND, BASE, SCALE, LIMIT = 128, 4, 1.02, 20.0, 65_534
 #: Five standard errors of the estimate near 0.85.
@@ -129,6 +128,11 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "row long, doc_id long, n long, g1 long, g2 long, sketch binary")
 
 
+def _keys_of(four: np.ndarray) -> np.ndarray:
+    """Bucket key of every band: its four registers, read as one number, and its place."""
+    return mix(mix(four.copy()) + np.arange(1, four.shape[1] + 1, dtype=np.uint64) * _GOLD)
+
+
 def _band_keys(nodes: DataFrame) -> DataFrame:
     """(key, node): one row for each band of each class."""
     bands = REGISTERS // BAND
@@ -136,8 +140,7 @@ def _band_keys(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                four = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, bands)
-                key = mix(mix(four.copy()) + np.arange(1, bands + 1, dtype=np.uint64) * _GOLD)
+                key = _keys_of(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, bands))
                 yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), bands))], names=["key", "node"])
 
     return nodes.select("node", "sketch").mapInArrow(run, "key long, node long")
@@ -206,31 +209,125 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "component")
 
 
-def _between_components(members: DataFrame, nodes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs (a, b) of different components inside one bucket; members (key, node)."""
-    own = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _group_pairs(own: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of one cell: inside its block, or between its two blocks."""
+    if i == j:
+        return np.triu_indices(len(own), 1)
+    x, y = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    return np.repeat(x, len(y)), np.tile(y, len(x))
+
+
+def _each_cell(rows: DataFrame, handle, schema: str) -> DataFrame:
+    """Stream a table through `handle`, which gets runs of whole (key, i, j) cells in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            t = pa.Table.from_batches([*held, batch])
+            if not len(t):
+                continue
+            same = np.ones(len(t), bool)  # the last cell may go on in the next batch
+            for c in ("key", "i", "j"):
+                same &= t.column(c).to_numpy() == t.column(c)[-1].as_py()
+            cut = int(np.argmax(same))
+            if cut:
+                yield handle(t.slice(0, cut))
+            held = t.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield handle(pa.Table.from_batches(held))
+
+    return rows.repartition(shuffles(rows.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, schema)
+
+
+def _likely_in_cells(t: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of different components that the registers allow, each in the first band that both share."""
+    col = {c: t.column(c).to_numpy() for c in ("key", "i", "j", "own", "component", "n")}
+    s = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    four = s.view(np.uint64)
+    cell = np.flatnonzero(np.concatenate([[True], (np.diff(col["key"]) != 0) | (np.diff(col["i"]) != 0) | (np.diff(col["j"]) != 0), [True]]))
+    least = (threshold - MARGIN) * REGISTERS
+    for lo, hi in zip(cell[:-1].tolist(), cell[1:].tolist()):
+        band = int(np.argmax(_keys_of(four[lo : lo + 1])[0] == col["key"][lo : lo + 1].view(np.uint64)))
+        x, y = _group_pairs(col["own"][lo:hi], col["i"][lo], col["j"][lo])
+        x, y = x + lo, y + lo
+        small, large = np.minimum(col["n"][x], col["n"][y]), np.maximum(col["n"][x], col["n"][y])
+        ok = (col["component"][x] != col["component"][y]) & (small >= threshold * large - 1e-9)
+        x, y = x[ok], y[ok]
+        for at in range(0, len(x), 8192):
+            a, b = x[at : at + 8192], y[at : at + 8192]
+            ok = (four[a] == four[b]).argmax(1) == band
+            a, b = a[ok], b[ok]
+            ok = (s[a] == s[b]).sum(1) >= least  # equal registers alone come close to the similarity
+            a, b = a[ok], b[ok]
+            if len(a):
+                est = joint_estimate((s[a] > s[b]).sum(1), (s[a] < s[b]).sum(1), col["n"][a].astype(float), col["n"][b].astype(float))
+                ok = est >= threshold - MARGIN
+                yield a[ok], b[ok]
+
+
+def _short_hashes(sets: DataFrame) -> DataFrame:
+    """(node, short): the sets with the upper half of each hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = [(np.frombuffer(h, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for h in batch.column("hashes").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(short, pa.binary())], names=["node", "short"])
+
+    return sets.mapInArrow(run, "node long, short binary")
+
+
+def _cells(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of buckets that hold several components, dealt to bounded cells; members (key, node, b).
+
+    Pairs with the bucket's smallest node b have been tried before, so b itself stays out.
+    """
+    own = members.where("node <> b").select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
     rows = own.join(mixed.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks")), "key").join(nodes.select("node", "n", "sketch"), "node")
     # block i meets block j in cell (i, j); a row goes to every cell of its block
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n", "sketch")
-
-    def cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[pdf.own == pdf.i.iloc[0]].reset_index(drop=True)
-        y = pdf[pdf.own == pdf.j.iloc[0]].reset_index(drop=True)
-        sx, sy = (np.frombuffer(b"".join(t.sketch), np.uint16).reshape(-1, REGISTERS) for t in (x, y))
-        out = []
-        for r in range(len(x)):
-            at = np.flatnonzero((y.component.to_numpy() != x.component[r]) & (np.minimum(y.n, x.n[r]) >= threshold * np.maximum(y.n, x.n[r]) - 1e-9))
-            if len(at):
-                est = joint_estimate((sx[r] > sy[at]).sum(1), (sx[r] < sy[at]).sum(1), np.full(len(at), float(x.n[r])), y.n.to_numpy()[at].astype(float))
-                at = at[est >= threshold - MARGIN]
-                other = y.node.to_numpy()[at]
-                out.append(np.stack([np.maximum(other, x.node[r]), np.minimum(other, x.node[r])], 1))
-        both = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
-
-    return rows.groupBy("key", "i", "j").applyInPandas(cell, "a long, b long").distinct()
+    return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n", "sketch")
+
+
+_CELL = "key long, i int, j int, own int, node long, component long, n long, sketch binary"
+
+
+def _with_partners(cells: DataFrame, threshold: float) -> DataFrame:
+    """Rows of cells that have at least one likely partner there: never more rows than came."""
+
+    def handle(t: pa.Table) -> pa.RecordBatch:
+        seen = np.zeros(len(t), bool)
+        for a, b in _likely_in_cells(t, threshold):
+            seen[a] = seen[b] = True
+        kept = t.filter(pa.array(seen)).combine_chunks()
+        return pa.RecordBatch.from_arrays([kept.column(c).combine_chunks() if kept.num_rows else pa.array([], t.schema.field(c).type) for c in t.schema.names], names=t.schema.names)
+
+    return _each_cell(cells, handle, _CELL)
+
+
+def _links_in_cells(cells: DataFrame, short: DataFrame, threshold: float, percent: int) -> DataFrame:
+    """Pairs (a, b) of cells that reach the threshold on short hashes, but for two elements of slack: all links and hardly more."""
+
+    def handle(t: pa.Table) -> pa.RecordBatch:
+        node, sets = t.column("node").to_numpy(), [np.frombuffer(x, np.uint32) for x in t.column("short").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        out = [np.zeros((0, 2), np.int64)]
+        for a, b in _likely_in_cells(t, threshold):
+            by = np.argsort(a, kind="stable")
+            a, b = a[by], b[by]
+            for lo, hi in zip(*(x.tolist() for x in (np.flatnonzero(np.diff(a, prepend=-1)), np.flatnonzero(np.diff(a, append=-1)) + 1))):
+                one, others = sets[a[lo]], b[lo:hi]
+                cat = np.concatenate([sets[k] for k in others])
+                hit = one[np.minimum(np.searchsorted(one, cat), len(one) - 1)] == cat
+                both = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(size[others])[:-1]]))
+                ok = 100 * (both + 2) >= percent * (size[a[lo]] + size[others] - both - 2)
+                if ok.any():
+                    pair = np.stack([np.full(int(ok.sum()), node[a[lo]]), node[others[ok]]], 1)
+                    out.append(np.stack([pair.max(1), pair.min(1)], 1))
+        found = np.unique(np.concatenate(out), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    return _each_cell(cells.join(short, "node"), handle, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -247,22 +344,16 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     members = stored(keys.join(shared.select("key", "b"), "key"))
     likely = stored(_likely(members.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), nodes, threshold))
     sets = stored(_full_sets(docs, classes, likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct(), words, repeats))
-    tried = likely
     links = stored(_confirm(likely, sets, percent))
-    while True:
-        labels = components(links)
-        more = stored(_between_components(members.select("key", "node"), nodes, labels, threshold).join(tried, ["a", "b"], "left_anti"))
-        if not more.limit(1).count():
-            break
-        ends = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
-        missing = stored(ends.join(sets.select("node"), "node", "left_anti"))
+    labels = components(links)
+    # one turn is enough: afterwards every pair of bucket mates has been tried or lies in one component
+    cells = stored(_with_partners(_cells(members, nodes, labels), threshold))
+    if cells.limit(1).count():
+        missing = stored(cells.select("node").distinct().join(sets.select("node"), "node", "left_anti"))
         if missing.limit(1).count():
             sets = sets.unionByName(stored(_full_sets(docs, classes, missing, words, repeats)))
-        found = stored(_confirm(more, sets, percent))
-        tried = tried.unionByName(more)
-        if not found.limit(1).count():
-            break
-        links = links.unionByName(found)
+        found = stored(_links_in_cells(cells, _short_hashes(sets), threshold, percent))
+        labels = components(links.unionByName(stored(_confirm(found, sets, percent))))
     groups = classes.select("g1", "g2", "node").join(labels, "node", "left").select("g1", "g2", F.coalesce("component", "node").alias("c"))
     out = sketched.select("row", "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("g1")).alias("g1"), "g2")
     return out.join(groups, ["g1", "g2"], "left").select("doc_id", "row", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("c", "doc_id"), F.lit(True)).alias("kept"))

@@ -106,7 +106,7 @@ def test_special_strings_and_rare_characters_encode_like_the_library():
     from tokenizers import Tokenizer
 
     t, e = Tokenizer.from_file(BPE), token_output.Encoder(BPE)
-    for text in ["a<|endoftext|>b", "naïve  café's x　y", "½² ١٢ क्षि \U0001f600", "  lead", "tail \n\n ", "we'll 'tis 'S"]:
+    for text in ["a<|endoftext|>b", "naïve  café's x　y", "½² ١٢ क्षि \U0001f600", "  lead", "tail \n\n ", "we'll 'tis 'S", "a_b __x _1 1_ x²y 3¼", "a\x1cb\x1d \x85c\xa0 d", "".join(map(chr, range(1, 0x250))), "Ά·ώ ЀҁЪ  12٣ 가힣 ァヺー"]:
         assert np.frombuffer(e.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
@@ -197,6 +197,20 @@ def test_chains_of_near_copies_are_one_component(spark):
     assert got == near_dedup.brute_force(list(enumerate(texts)), 3, 85)
 
 
+def test_copies_with_many_edit_rates_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    texts = []
+    for base in range(2):
+        words = [f"b{base}w{i}" for i in range(150)]
+        for _ in range(60):
+            rate = rng.choice([0, 0.01, 0.02, 0.03, 0.05, 0.08])
+            texts.append(" ".join(f"e{rng.randrange(10**6)}" if rng.random() < rate else w for w in words))
+    want = near_dedup.brute_force(list(enumerate(texts)), 3, 85)
+    assert 10 < sum(w[3] for w in want) < 110
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 16)  # several cells in a bucket
+    assert sorted(map(tuple, near_dedup.digest(near_dedup.near_duplicates(documents(spark, texts), 3, 85)).collect())) == want
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(4)
     a, b = rng.integers(0, 1 << 62, 3000).astype(np.uint64), rng.integers(0, 1 << 62, 3000).astype(np.uint64)
