@@ -20,13 +20,13 @@ written each; an empty table gives no files; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +37,11 @@ FILE_IDS = 1 << 21
 END_ID = 0
 #: Remembered pieces of a worker.
 MEMORY = 400_000
-#: Texts of other characters go to the library whole: their classes may differ between Unicode versions.
-KNOWN = regex.compile(r"[\x00-ʯͰ-ͳΆ-ϿЀ-ҁҊ-ԓ‐-‧‰-⁞₠-₵ぁ-ゖァ-ヺ一-龻가-힣]*+")
+#: The split pattern of byte-level BPE in Python's classes, the same over KNOWN characters.
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: Texts of other characters go to the library whole: classes may differ there (control separators,
+#: superscripts and fractions, marks, letters of later Unicode versions).
+KNOWN = re.compile(r"[\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u02afΆ-ώЀ-ҁ‐-‧₠-₵ぁ-ゖァ-ヺ一-龥가-힣]*+")
 _HEAD = struct.Struct("<4sBBHIQQQ")
 
 
@@ -116,18 +119,25 @@ class Encoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        import public_tokenizers
-
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = vocabulary_bits(self.tokenizer.get_vocab_size(with_added_tokens=True))
         self.by_piece = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and not self.tokenizer.pre_tokenizer.add_prefix_space and self.tokenizer.normalizer is None
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        self.pieces = PIECE.findall
+        # byte-level BPE writes byte b as the b-th of these characters
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = iter(range(256, 512))
+        self.alphabet = "".join(chr(b) if b in plain else chr(next(others)) for b in range(256))
+        self.by_piece = self.by_piece and set(self.alphabet) == set(ByteLevel.alphabet())
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memory = _Memory(self._whole)
+        self.memory = _Memory(self._piece)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _piece(self, piece: str) -> list[int]:
+        """Ids of one piece, straight from the library's BPE model."""
+        return [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))]
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian u32."""
         if not self.by_piece or any(s in text for s in self.special) or KNOWN.match(text).end() < len(text):
