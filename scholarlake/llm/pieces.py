@@ -2,20 +2,21 @@
 
 Encoding follows the agenda of SentencePiece's BPE: adjacent symbols whose concatenation is a piece wait
 by score, then place; the best is merged and its new neighbours enter. With dropout a candidate that
-leaves the agenda is skipped if a keyed hash of (seed, variant, chunk, its start and end) falls below the rate:
-no random state, so any task that repeats gives the same ids. Symbols that are no pieces become bytes.
+leaves the agenda is skipped if a keyed hash of (seed, doc_id, its number among the document's candidates) falls
+below the rate: every occurrence of a chunk draws anew, and there is no random state, so any task that repeats
+gives the same ids. Symbols that are no pieces become bytes.
 
-A text falls into chunks that are encoded alone and remembered, in a bounded memory: runs of letters,
-digits or other characters with the blanks before them. Merges never cross such bounds because no piece
-does; that is checked for every piece when the model is read, and a model with such pieces gets wider
-chunks, cut before blanks only.
-A document's variant is a keyed hash of its doc_id modulo `variants`.
+A text falls into chunks that are encoded alone: runs of letters, digits or other characters with the blanks
+before them. Merges never cross such bounds because no piece does; that is checked for every piece when the
+model is read, and a model with such pieces gets wider chunks, cut before blanks only.
+A chunk's ids follow from which of its candidates are skipped, so they are remembered by chunk and skipped
+numbers, in a bounded memory; memory changes no ids.
 
 Decoding joins the pieces' bytes and drops the first blank. It gives back every text, also with U+2581
 in it: that character is written as bytes, where SentencePiece itself would turn it into a blank.
 
 Defined results: null and empty texts have no ids and decode to the empty text; repeated rows
-have equal ids; a null doc_id has variant 0; an empty table gives no rows; extra columns are ignored.
+have equal ids; a null doc_id is keyed by its text; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +32,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RATE, SEED, VARIANTS = 0.1, 17, 1
-#: Remembered chunks of a worker.
+RATE, SEED = 0.1, 17
+#: Remembered segmentations of a worker.
 MEMORY = 400_000
 #: Ways to cut a text, finest first; the first that cuts no piece is taken.
 CHUNKS = (re.compile(r" *(?:[^\W\d_²]+|\d+|(?:[^\w ]|[_²])+)| +"), re.compile(r" +[^ ]*|[^ ]+"))
 _MASK = (1 << 64) - 1
+#: Greater than any candidate's number.
+NEVER = 1 << 62
+
+
+def skipped(key: int, rate: float, n: int, block: int = 1 << 16) -> Iterator[int]:
+    """Numbers of a document's skipped candidates among the first `n` in order, then NEVER."""
+    drop, block = np.uint64(rate * (1 << 32)), min(n, block)
+    for at in range(0, n if drop else 0, block):
+        h = np.arange(at + 1, min(at + block, n) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        yield from (np.flatnonzero((h ^ (h >> np.uint64(31))) >> np.uint64(32) < drop) + at).tolist()
+    yield NEVER
 
 
 class PieceModel:
@@ -69,15 +84,16 @@ class PieceModel:
 class Encoder:
     def __init__(self, model: PieceModel, rate: float = 0.0, seed: int = 0):
         self.model, self.rate, self.seed = model, rate, seed
-        self.memories: dict[int, dict[str, bytes]] = {}
+        # chunk: [its candidates, ids, {number of the next skipped candidate: the same with that skipped}]
+        self.memory: dict[str, list] = {}
         self.held = 0
 
-    def merge(self, chunk: str, variant: int = 0) -> list[int]:
-        """Ids of one chunk."""
+    def merge(self, chunk: str, number: int = 0, skip: int = NEVER, skips: Iterator[int] = iter(())) -> tuple[list[int], int, int]:
+        """Ids of one chunk whose first candidate has this number, the number after its last one, and the next to skip."""
         score, ids = self.model.score, self.model.id
         n = len(chunk)
         if n == 1:
-            return self._ids(chunk)
+            return self._ids(chunk), number, skip
         end = list(range(1, n + 1))  # end[i]: end of the symbol that starts at i
         before = list(range(-1, n - 1))  # before[i]: start of the symbol before it
         agenda = []
@@ -87,18 +103,15 @@ class Encoder:
             if s is not None:
                 agenda.append((-s, i, i + 1, i + 2))
         heapq.heapify(agenda)
-        drop = int(self.rate * (1 << 32))
-        key = xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), (self.seed * 0x9E3779B1 + variant) & _MASK) if drop and agenda else 0
         pop, push = heapq.heappop, heapq.heappush
         while agenda:
             _, a, b, c = pop(agenda)
             if end[a] != b or b >= n or end[b] != c:
                 continue  # one of its sides has been merged since
-            if drop:
-                h = (key ^ (a * 0x9E3779B97F4A7C15 + c * 0xC2B2AE3D27D4EB4F)) & _MASK
-                h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & _MASK
-                if (h >> 32) < drop:
-                    continue
+            number += 1
+            if number > skip:
+                skip = next(skips)
+                continue
             end[a], end[b] = c, 0
             if c < n:
                 before[c] = a
@@ -119,25 +132,42 @@ class Encoder:
             else:
                 out.append(i)
             at = end[at]
-        return out
+        return out, number, skip
 
     def _ids(self, piece: str) -> list[int]:
         i = self.model.id.get(piece)
         return [i] if i is not None else [self.model.byte_id[b] for b in piece.encode("utf-8", "surrogatepass")]
 
-    def encode(self, text: str, variant: int = 0) -> bytes:
-        """Ids as little-endian i32."""
+    def encode(self, text: str, document: int | None = None) -> bytes:
+        """Ids as little-endian i32; `document` keys the dropout, None takes the text itself."""
         if not text:
             return b""
-        memory, out = self.memories.setdefault(variant, {}), []
+        key = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass") if document is None else str(document), self.seed & _MASK)
+        # a chunk of n characters has less than 3 n candidates
+        skips = skipped(key, self.rate, 3 * len(text) + 3)
+        memory, out = self.memory, []
+        number, skip = 0, next(skips)
         for chunk in self.model.chunks(" " + text):
-            ids = memory.get(chunk)
-            if ids is None:
-                ids = np.array(self.merge(chunk, variant), "<i4").tobytes()
-                if self.held < MEMORY and len(chunk) <= 64:
-                    memory[chunk] = ids
+            found, into, by = memory.get(chunk), memory, chunk
+            if found is not None and skip >= number + found[0]:
+                out.append(found[1])
+                number += found[0]
+                continue
+            path = []
+            while found is not None and skip < number + found[0]:
+                into, by = found[2], skip - number
+                path.append(skip)
+                found, skip = into.get(by), next(skips)
+            if found is None:
+                first, after = number, skip
+                ids, number, skip = self.merge(chunk, first, *((path[0], chain(path[1:], (skip,), skips)) if path else (skip, skips)))
+                found = [number - first, np.array(ids, "<i4").tobytes(), {}]
+                if skip == after and self.held < MEMORY and len(chunk) <= 64:
+                    into[by] = found
                     self.held += 1
-            out.append(ids)
+            else:
+                number += found[0]
+            out.append(found[1])
         return b"".join(out)
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
@@ -145,7 +175,7 @@ class Encoder:
         return raw[1:].decode("utf-8", "surrogatepass")
 
 
-def encode_documents(documents: DataFrame, model: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode_documents(documents: DataFrame, model: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id, n_ids, ids, lossless (decoding gave the text back) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,8 +187,7 @@ def encode_documents(documents: DataFrame, model: str, rate: float = RATE, seed:
                 while at < len(batch) and size < (4 << 20):
                     text = batch.column("text")[at].as_py() or ""
                     doc = batch.column("doc_id")[at].as_py()
-                    variant = xxhash.xxh3_64_intdigest(str(doc).encode(), seed & _MASK) % variants if doc is not None else 0
-                    raw = encoder.encode(text, variant)
+                    raw = encoder.encode(text, doc)
                     ids.append(raw)
                     lossless.append(encoder.decode(np.frombuffer(raw, "<i4")) == text)
                     size += len(raw)

@@ -172,6 +172,27 @@ def test_dropout_is_lossless_seeded_and_varied(spark, docs):
     assert back == {i: t or "" for i, t in enumerate(TEXTS)}
 
 
+def test_dropout_varies_between_occurrences_and_equals_the_plain_method(spark, monkeypatch):
+    word, texts = "international", TEXTS[16:40]
+    rows = [(d, " ".join([word] * 200)) for d in (1, 2, 2)]
+    ids = [r["ids"] for r in pieces.encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), PIECES).orderBy("doc_id").collect()]
+    assert ids[0] != ids[1] == ids[2]
+    model = pieces.PieceModel(PIECES)
+    whole = pieces.Encoder(model).merge(" " + word)[0]
+    for found in ids[:2]:
+        starts = [i for i, x in enumerate(found) if model.bytes[x].startswith(b" ")]
+        seen = [tuple(found[a:b]) for a, b in zip(starts, [*starts[1:], None])]
+        assert len(seen) == 200 and len(set(seen)) > 3 and tuple(whole) in seen
+    # memory changes no ids: one without, one that is full at once, one shared by all texts
+    shared = pieces.Encoder(model, 0.1, 17)
+    got = [shared.encode(t, i % 3) for i, t in enumerate(texts)]
+    for held in (0, 30):
+        monkeypatch.setattr(pieces, "MEMORY", held)
+        assert got == [pieces.Encoder(model, 0.1, 17).encode(t, i % 3) for i, t in enumerate(texts)]
+    drawn = list(pieces.skipped(5, 0.1, 200_000))
+    assert drawn == list(pieces.skipped(5, 0.1, 200_000, 1000)) and abs(len(drawn) - 20_000) < 600
+
+
 # 6 near-dedup
 
 
