@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
-META = r"(?is)<meta\s[^>]*?\bname\s*=\s*[\"']([^\"']+)[\"'][^>]*?\bcontent\s*=\s*[\"']([^\"']*)[\"']"
+META = r"(?is)<meta\s[^>]*\b(?:name|property)\s*=\s*[\"']([^\"']+)[\"'][^>]*?\bcontent\s*=\s*[\"']([^\"']*)[\"']"
 
 
 @F.pandas_udf(StringType())

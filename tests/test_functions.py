@@ -90,3 +90,14 @@ def test_pages(spark):
     d = html.article_details(pages).where("page_id = 1").first()
     assert (d["title"], d["authors"], d["keywords"], d["doi"], d["publication_year"]) == ("A & B", ["One", "Two"], ["a", "b"], "10.1/x", 2019)
     assert html.page_text(pages).where("page_id = 2").first()["text"] == ""
+
+
+def test_meta_tags_by_property(spark):
+    head = [
+        '<META property="og:title" content="Only &amp; here">',
+        "<meta property='og:title' content='Second'><meta name='citation_title' content='First'>",
+        '<meta name="x" property="og:title" content="Last key counts">',
+        '<meta charset="utf-8"><meta content="Reversed" property="og:title">',
+    ]
+    pages = spark.createDataFrame(list(enumerate(head)), "page_id long, html string")
+    assert {r["page_id"]: r["title"] for r in html.article_details(pages).collect()} == {0: "Only & here", 1: "First", 2: "Last key counts", 3: None}
