@@ -46,6 +46,11 @@ def by_decimal_text(column: str) -> Column:
     return S.norm_decimal(column).desc_nulls_last()
 
 
+def all_by_decimal_text(df: DataFrame, column: str, *then: Column) -> DataFrame:
+    """All rows with the number in a decimal-comma text, sorted by it over all partitions, bad ones last."""
+    return df.withColumn("number", S.norm_decimal(column)).orderBy(F.desc_nulls_last("number"), *then)
+
+
 def priority_order(references: Column, count: Column, key: Column) -> list[Column]:
     """Articles with references first, those with more before, then by id."""
     return [F.when(references, 0).otherwise(1), count.desc_nulls_last(), key]

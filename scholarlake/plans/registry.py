@@ -296,6 +296,12 @@ def sorted_by_decimal_text(t: Tables) -> DataFrame:
     return reports.top(df, 100, reports.by_decimal_text("price"), F.asc("p_partkey"))
 
 
+@query("select p_partkey, replace(cast(p_retailprice as varchar), '.', ',') as price, p_retailprice as number from part order by p_retailprice desc nulls last, p_partkey")
+def all_by_decimal_text(t: Tables) -> DataFrame:
+    df = t.part.select("p_partkey", F.replace(F.col("p_retailprice").cast("string"), F.lit("."), F.lit(",")).alias("price"))
+    return reports.all_by_decimal_text(df, "price", F.asc("p_partkey"))
+
+
 @query("select count(*) as total, count(*) filter (o_orderstatus = 'F') as synced, count(*) filter (o_orderstatus is distinct from 'F') as pending, round(100.0 * count(*) filter (o_orderstatus = 'F') / count(*), 2) as percent from orders")
 def coverage_stats(t: Tables) -> DataFrame:
     return reports.coverage(t.orders, F.col("o_orderstatus") == "F")

@@ -6,7 +6,9 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from scholarlake.operators import reports
 from scholarlake.plans import registry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -43,6 +45,16 @@ def test_query_equals_sql(spark, duck, name):
     assert got == want
 
 
+def test_decimal_text_report_holds_all_rows_in_order(spark):
+    got = [r["p_partkey"] for r in registry.QUERIES["all_by_decimal_text"](spark, SF).collect()]
+    part = spark.read.parquet(f"{SF}/part.parquet").select("p_partkey", "p_retailprice").collect()
+    assert len(part) > 100 and got == [r["p_partkey"] for r in sorted(part, key=lambda r: (-r["p_retailprice"], r["p_partkey"]))]
+    texts = spark.createDataFrame([(i, f"{i % 60},5" if i % 4 else ("-", "x", None)[i % 3]) for i in range(240)], "k long, v string").repartition(5)
+    rows = reports.all_by_decimal_text(texts, "v", F.asc("k")).collect()
+    good = sorted((i for i in range(240) if i % 4), key=lambda i: (-(i % 60), i))
+    assert [r["k"] for r in rows] == good + list(range(0, 240, 4)) and {r["number"] for r in rows[180:]} == {None}
+
+
 def test_page_links_hold_each_address_once(spark):
     df = registry.QUERIES["page_links"](spark, SF)
     assert df.count() == df.select("page_id", "link").distinct().count() > 0
