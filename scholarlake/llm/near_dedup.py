@@ -163,7 +163,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int, repeats: bool) -> DataFrame:
-    """(node, hashes) of the nodes, from the text of one row of each; `repeats`: rows may be there twice."""
+    """(node, hashes) of the nodes, from the text of one row of each class; `repeats`: rows may be there twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,8 +171,10 @@ def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "hashes"])
 
     rows = classes.join(nodes, "node").select("row", "node")
-    sets = docs.join(rows, "row").select("node", "text").mapInArrow(run, "node long, hashes binary")
-    return sets.dropDuplicates(["node"]) if repeats else sets
+    texts = docs.join(rows, "row")
+    # by row: different texts under one doc_id share a node, and all their sets count
+    texts = texts.dropDuplicates(["row"]) if repeats else texts
+    return texts.select("node", "text").mapInArrow(run, "node long, hashes binary")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scholarlake.llm import chat, decontamination, line_dedup, near_dedup, nearest, pieces, quality, sharding, substring_dedup, token_output
 from scholarlake.llm.queries import tokenizer_path
 
-from .fixtures import awkward_texts, documents
+from .fixtures import awkward_texts, documents, prose
 
 TEXTS = awkward_texts()
 BPE, PIECES = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
@@ -242,6 +242,16 @@ def test_registers_merge_and_estimate():
     assert abs(est[0] - 2400 / 3600) < 0.13
 
 
+def test_texts_under_one_doc_id_keep_their_links_beside_repeated_rows(spark):
+    texts = [prose(random.Random(100 + i), 150) for i in range(12)]
+    rows = []
+    for i in range(0, 12, 2):
+        rows += [(i, texts[i]), (i, texts[i + 1]), (100 + i, texts[i] + " tail"), (101 + i, texts[i + 1] + " tail")]
+    df = spark.createDataFrame([*rows, *rows[:2]], "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(df, 3, 85).collect()}
+    assert got == {(d, i) for i in range(0, 12, 2) for d in (i, 100 + i, 101 + i)}
+
+
 # 7 line dedup
 
 
