@@ -40,11 +40,11 @@ from .common import mix, ranges
 
 RATE, SEED = 0.1, 17
 #: Remembered segmentations of a worker, as a power of two; the table is twice as large.
-MEMORY_BITS = 20
+MEMORY_BITS = 19
 #: Rows of symbols that are merged in lock step at once, and the characters of the longest ones.
 ROWS, ROW_CHARS = 1 << 15, 64
 #: Bytes of text in one pass.
-PASS_BYTES = 4 << 20
+PASS_BYTES = 2 << 20
 #: Ways to cut a text: a chunk, the classes of its characters (the last pattern is the blank), bytes that always begin one.
 #: Finest first; the first that cuts no piece is taken.
 CHUNKS = (
