@@ -68,9 +68,17 @@ def shuffles(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Type of row_key().
+ROW = "struct<a:long,b:long>"
+
+
 def row_key() -> F.Column:
-    """Internal key of a document row: equal rows share it, rows that only share a doc_id do not."""
-    return F.xxhash64("doc_id", "text")
+    """Internal 128-bit key of a document row: its doc_id (or a hash, where there is none) and a hash of its text.
+
+    Equal rows share it; rows that only share a doc_id do not.
+    """
+    text, none = F.coalesce("text", F.lit("")), F.col("doc_id").isNull()
+    return F.struct(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), text)).alias("a"), F.xxhash64(text, F.col("text").isNull(), none).alias("b"))
 
 
 def text_chunks(texts: pa.Array, tail: bytes = b"", limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -1,19 +1,21 @@
 """Operator 7: reversible line dedup with sharded cuckoo filters over exact reference counts.
 
-State is one exact table (shard, k1, k2, refs): how many documents hold a line key. Adding and deleting
+State is one exact table (shard, shards, k1, k2, refs): how many documents hold a line key. Adding and deleting
 documents add and subtract, so every step can be undone. The keys that reach `min_docs` are also in one
-cuckoo filter per shard (insertion and deletion are supported); the filters let a scan of the documents
-keep only lines that may be frequent, and an exact join with the table removes the filter's false
-positives. Filters are broadcast only while their summed size, checked first, is at most
-FILTER_BYTES; beyond that every line key takes the exact join.
+cuckoo filter per shard; keys that reach it later are inserted, and keys that fall below it are deleted.
+
+Line keys are dealt to their shard, where they stream past the shard's filter and then its exact table:
+(shard, salt) parts get the shard's state first, then keys, so that a task holds one shard's frequent keys
+and never its postings. The salt follows the row, so that a line of very many documents is several tasks'
+work. Nothing is broadcast, at any size.
 
 A key is the line without blanks ([\\x20\\x09-\\x0D]) at both ends and with A-Z lower-cased. Keys of at
-least `min_chars` code points in at least `min_docs` documents lose all lines but those of the largest
-doc_id that holds them.
+least `min_chars` code points in at least `min_docs` documents (different doc_ids) lose all lines but those of
+the largest doc_id that holds them.
 
-Defined results: null and empty texts are one empty line; repeated rows are different documents with one
-doc_id, and all rows of the largest doc_id keep their lines; rows without doc_id count but lose nothing;
-an empty table gives no rows; extra columns stay, but `_n_lines` and `_n_dropped` are replaced.
+Defined results: null and empty texts are one empty line; rows of one doc_id are one document, and all rows
+of the largest doc_id keep their lines; rows without doc_id do not count and lose nothing; an empty table gives
+no rows; extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,12 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, mix, row_key, shuffles, stored, widened
+from .common import ROW, free_name, mix, row_key, shuffles, stored, widened
 
 BLANKS = b" \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
-#: Broadcast bound for all filters together.
-FILTER_BYTES = 32 << 20
+#: Parts that a shard's postings are dealt to.
+SALTS = 8
 
 
 def line_keys(text: bytes, min_chars: int = MIN_CHARS) -> list[bytes | None]:
@@ -119,13 +121,11 @@ class CuckooFilter:
         return out
 
 
-def _postings(docs: DataFrame, min_chars: int, filters: dict[int, bytes] | None = None, shards: int = 1) -> DataFrame:
-    """(row, doc_id, k1, k2): the different countable keys of each document; only those that may be in `filters`."""
-    shared = docs.sparkSession.sparkContext.broadcast(filters) if filters is not None else None
+def _postings(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(row, doc_id, k1, k2): the different countable keys of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
-        tables = {s: CuckooFilter.from_bytes(raw) for s, raw in shared.value.items()} if shared else None
         for batch in batches:
             keys, counts = [], np.zeros(len(batch), np.int64)
             for n, text in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):
@@ -133,42 +133,49 @@ def _postings(docs: DataFrame, min_chars: int, filters: dict[int, bytes] | None
                 counts[n] = len(own)
                 keys += own
             k = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-            at = np.repeat(np.arange(len(batch)), counts)
-            if tables is not None:
-                ok, shard = np.zeros(len(k), bool), shard_of(k[:, 0], shards)
-                for s, t in tables.items():
-                    mine = np.flatnonzero(shard == s)
-                    ok[mine] = t.contains(k[mine, 0], k[mine, 1])
-                k, at = k[ok], at[ok]
-            yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(at)), batch.column("doc_id").take(pa.array(at)), pa.array(k[:, 0]), pa.array(k[:, 1])], names=["row", "doc_id", "k1", "k2"])
+            at = pa.array(np.repeat(np.arange(len(batch)), counts))
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(at), batch.column("doc_id").take(at), pa.array(k[:, 0]), pa.array(k[:, 1])], names=["row", "doc_id", "k1", "k2"])
 
-    return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, k1 long, k2 long")
+    return docs.select("row", "doc_id", "text").mapInArrow(run, f"row {ROW}, doc_id long, k1 long, k2 long")
 
 
-def shard_of(k1: np.ndarray, shards: int) -> np.ndarray:
-    return np.mod(k1, shards)
+def _keyed(documents: DataFrame) -> DataFrame:
+    """row, doc_id, text of the rows that count."""
+    return documents.where("doc_id is not null").select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _counted(documents: DataFrame, postings: DataFrame) -> DataFrame:
+    """(k1, k2, refs, last): in how many doc_ids a key is, and the largest of them."""
+    twice = stored(documents.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("count > 1").select("doc_id"))
+    if twice.limit(1).count():  # keys of doc_ids with several rows count once
+        again = postings.join(twice, "doc_id", "left_semi").select("doc_id", "k1", "k2").distinct()
+        postings = postings.join(twice, "doc_id", "left_anti").select("doc_id", "k1", "k2").unionByName(again)
+    return postings.groupBy("k1", "k2").agg(F.count("*").alias("refs"), F.max("doc_id").alias("last"))
+
+
+def _sharded(keys: DataFrame, shards: int) -> DataFrame:
+    return keys.withColumns({"shard": F.pmod("k1", F.lit(shards)).cast("int"), "shards": F.lit(shards)})
 
 
 def count_lines(documents: DataFrame, min_chars: int = MIN_CHARS, shards: int | None = None) -> DataFrame:
-    """The reference-count table (shard, k1, k2, refs) of `documents`."""
+    """The reference-count table (shard, shards, k1, k2, refs) of `documents`."""
     n = shards or shuffles(documents.sparkSession)
-    refs = _postings(_keyed(documents), min_chars).groupBy("k1", "k2").agg(F.count("*").alias("refs"))
-    return refs.select(F.pmod("k1", F.lit(n)).cast("int").alias("shard"), "k1", "k2", "refs")
+    return _sharded(_counted(documents, stored(_postings(_keyed(documents), min_chars))), n).select("shard", "shards", "k1", "k2", "refs")
+
+
+def shard_count(refs: DataFrame) -> int:
+    """The number of shards that a reference-count table was made with; that of the session's shuffles for an empty one."""
+    some = refs.select("shards").first()
+    return some["shards"] if some else shuffles(refs.sparkSession)
 
 
 def update_counts(refs: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The table after documents are added and deleted; deleting what was added gives the old table."""
-    n = refs.agg(F.max("shard")).first()[0]
-    total = refs
+    """The table after documents (whose doc_ids are new, or were added before) are added and deleted; deleting what was added gives the old table."""
+    n, total = shard_count(refs), refs
     for docs, sign in ((added, 1), (removed, -1)):
         if docs is not None:
-            change = count_lines(docs, min_chars, (n or 0) + 1)
-            total = total.unionByName(change.withColumn("refs", F.col("refs") * sign))
-    return total.groupBy("shard", "k1", "k2").agg(F.sum("refs").alias("refs")).where("refs > 0")
+            total = total.unionByName(count_lines(docs, min_chars, n).withColumn("refs", F.col("refs") * sign))
+    return total.groupBy("shard", "shards", "k1", "k2").agg(F.sum("refs").alias("refs")).where("refs > 0")
 
 
 def build_filters(frequent: DataFrame) -> DataFrame:
@@ -180,36 +187,105 @@ def build_filters(frequent: DataFrame) -> DataFrame:
     return frequent.select("shard", "k1", "k2").groupBy("shard").applyInPandas(run, "shard int, filter binary")
 
 
-def drop_repeated_lines(documents: DataFrame, refs: DataFrame | None = None, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """documents with `text` replaced by what stays, plus `_n_lines` and `_n_dropped`.
+def update_filters(filters: DataFrame, before: DataFrame, after: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """The filters after the counts went from `before` to `after`: keys that reached min_docs are inserted, those that fell below it deleted.
+
+    A shard that has no filter yet, or whose filter is full, gets a new one from its exact keys.
+    """
+    is_frequent = lambda df, name: df.where(F.col("refs") >= min_docs).select("shard", "k1", "k2", F.lit(True).alias(name))
+    changes = is_frequent(before, "was").join(is_frequent(after, "now"), ["shard", "k1", "k2"], "full").where("was is null or now is null")
+    changes = stored(changes.groupBy("shard").agg(F.collect_list(F.struct("k1", "k2", F.col("now").isNotNull().alias("now"))).alias("changes")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for raw, changed in zip(batch.column("filter").to_pylist(), batch.column("changes").to_pylist()):
+                changed = changed or []
+                keys = lambda now: [np.array([x[k] for x in changed if x["now"] is now], np.int64) for k in ("k1", "k2")]  # noqa: E731,B023
+                if raw is not None and changed:
+                    f = CuckooFilter.from_bytes(raw)
+                    f.delete(*keys(False))
+                    raw = f.to_bytes() if f.insert(*keys(True)) else None
+                out.append(raw)
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(out, pa.binary())], names=["shard", "filter"])
+
+    next_ = stored(filters.join(changes, "shard", "full").select("shard", "filter", "changes").mapInArrow(run, "shard int, filter binary"))
+    full = next_.where("filter is null").select("shard")
+    return next_.where("filter is not null").unionByName(build_filters(is_frequent(after, "now").join(full, "shard", "left_semi")))
+
+
+def _shard_states(frequent: DataFrame, filters: DataFrame) -> DataFrame:
+    """(shard, filter, exact): each shard's filter beside its exact table of frequent keys (k1, k2, last), packed."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = pdf.sort_values(["k1", "k2"])[["k1", "k2", "last"]].to_numpy(np.int64)
+        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "exact": [np.ascontiguousarray(table).tobytes()]})
 
-    refs: the reference counts to judge by; those of `documents` by default.
+    exact = frequent.select("shard", "k1", "k2", "last").groupBy("shard").applyInPandas(run, "shard int, exact binary")
+    return filters.join(exact, "shard")
+
+
+def _lost_lines(postings: DataFrame, states: DataFrame, shards: int) -> DataFrame:
+    """(row, k1, k2) of lines that go: of frequent keys, in another document than the last."""
+    none = lambda kind: F.lit(None).cast(kind)
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    first = states.select("shard", parts, "filter", "exact", none(ROW).alias("row"), none("long").alias("doc_id"), none("long").alias("k1"), none("long").alias("k2"))
+    keys = postings.select(F.pmod("k1", F.lit(shards)).cast("int").alias("shard"), F.pmod(F.col("row.b"), F.lit(SALTS)).cast("int").alias("salt"), none("binary").alias("filter"), none("binary").alias("exact"), "row", "doc_id", "k1", "k2")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_, table, own = None, None, None
+        for batch in batches:
+            is_state = batch.column("filter").is_valid().to_numpy(zero_copy_only=False)
+            shard = batch.column("shard").to_numpy()
+            cuts = np.flatnonzero(is_state | np.concatenate([[True], (shard[1:] != shard[:-1])]))
+            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(batch)]):
+                if is_state[lo]:
+                    filter_, own = CuckooFilter.from_bytes(batch.column("filter")[lo].as_py()), shard[lo]
+                    table = np.frombuffer(batch.column("exact")[lo].as_py(), np.int64).reshape(-1, 3)
+                    lo += 1
+                if lo >= hi or own != shard[lo]:
+                    continue  # a shard without frequent keys
+                part = batch.slice(lo, hi - lo)
+                part = part.take(pa.array(np.flatnonzero(filter_.contains(part.column("k1").to_numpy(), part.column("k2").to_numpy()))))
+                k1, k2, doc = (part.column(c).to_numpy() for c in ("k1", "k2", "doc_id"))
+                at, end = np.searchsorted(table[:, 0], k1, "left"), np.searchsorted(table[:, 0], k1, "right")
+                goes = np.zeros(len(k1), bool)
+                while (live := np.flatnonzero(at < end)).size:  # more than one turn only where two keys share k1
+                    goes[live] |= (table[at[live], 1] == k2[live]) & (doc[live] < table[at[live], 2])
+                    at += 1
+                yield part.select(["row", "k1", "k2"]).take(pa.array(np.flatnonzero(goes)))
+
+    dealt = first.unionByName(keys).repartition(shuffles(postings.sparkSession), "shard", "salt")
+    return dealt.sortWithinPartitions("shard", "salt", F.col("filter").isNull()).mapInArrow(run, f"row {ROW}, k1 long, k2 long")
+
+
+def drop_repeated_lines(documents: DataFrame, refs: DataFrame | None = None, filters: DataFrame | None = None, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, counts: tuple[str, str] = ("_n_lines", "_n_dropped")) -> DataFrame:
+    """documents with `text` replaced by what stays, plus the columns `counts` (lines before, dropped lines); their names must be free.
+
+    refs, filters: the reference counts to judge by, and their filters; those of `documents` by default.
     """
-    spark, docs = documents.sparkSession, _keyed(documents)
-    shards = shuffles(spark) if refs is None else (refs.agg(F.max("shard")).first()[0] or 0) + 1
-    frequent = stored((count_lines(documents, min_chars, shards) if refs is None else refs).where(F.col("refs") >= min_docs))
-    # 16 bits a slot at a load of 0.4 to 0.8
-    if frequent.count() * 5 <= FILTER_BYTES:
-        filters = {r["shard"]: bytes(r["filter"]) for r in build_filters(frequent).toLocalIterator()}
-        lines = _postings(docs, min_chars, filters, shards)
-    else:
-        lines = _postings(docs, min_chars)
-    hits = stored(lines.join(frequent.select("k1", "k2"), ["k1", "k2"]))
-    last = hits.groupBy("k1", "k2").agg(F.max("doc_id").alias("last"))
-    row, found = free_name(documents, "_row"), free_name(documents, "_keys")
-    drops = hits.join(last, ["k1", "k2"]).where("doc_id < last").groupBy(F.col("row").alias(row)).agg(F.collect_set(F.struct("k1", "k2")).alias(found))
+    spark = documents.sparkSession
+    postings = stored(_postings(_keyed(documents), min_chars))
+    found = _counted(documents, postings)
+    shards = shuffles(spark) if refs is None else shard_count(refs)
+    if refs is not None:
+        found = found.select("k1", "k2", "last").join(refs.select("k1", "k2", "refs"), ["k1", "k2"])
+    frequent = stored(_sharded(found.where(F.col("refs") >= min_docs), shards))
+    states = stored(_shard_states(frequent, build_filters(frequent) if filters is None else filters))
+    row, gone = free_name(documents, "_row"), free_name(documents, "_keys")
+    drops = _lost_lines(postings, states, shards).groupBy(F.col("row").alias(row)).agg(F.collect_set(F.struct("k1", "k2")).alias(gone))
     wide = documents.withColumn(row, row_key()).join(drops, row, "left").drop(row)
-    schema = widened(documents.drop("_n_lines", "_n_dropped"), _n_lines="long", _n_dropped="long")
+    schema = widened(documents, **dict.fromkeys(counts, "long"))
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             texts, n_lines, n_dropped = [], [], []
-            gone = batch.column(found)
+            lost = batch.column(gone)
             for i, text in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):
                 text = text or b""
                 n_lines.append(text.count(b"\n") + 1)
-                drop = {np.array([x["k1"], x["k2"]], np.int64).tobytes() for x in gone[i].as_py() or ()}
+                drop = {np.array([x["k1"], x["k2"]], np.int64).tobytes() for x in lost[i].as_py() or ()}
                 if drop:
                     kept = [line for line, k in zip(text.split(b"\n"), line_keys(text, min_chars)) if k is None or digest(k) not in drop]
                     n_dropped.append(n_lines[-1] - len(kept))
@@ -229,11 +305,11 @@ def digest(result: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 with l as (
-  select doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
-  from (select doc_id, ls[i] as line, i from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents)))
+  select doc_id, r, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from (select doc_id, r, ls[i] as line, i from (select doc_id, r, ls, unnest(range(1, len(ls) + 1)) as i from (select doc_id, row_number() over () as r, string_split(coalesce(text, ''), chr(10)) as ls from documents)))
 ), f as (select k, max(doc_id) as last from l where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
-m as (select l.doc_id, i, line, f.k is not null and l.doc_id <> f.last as gone from l left join f using (k))
+m as (select l.doc_id, r, i, line, f.k is not null and coalesce(l.doc_id <> f.last, false) as gone from l left join f using (k))
 select doc_id, count(*) as n_lines, cast(count(*) filter (gone) as bigint) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
-from m group by doc_id
+from m group by r, doc_id
 """

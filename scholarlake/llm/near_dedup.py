@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, free_name, mix, row_key, shuffles, stored, text_chunks, word_spans
+from .common import ROW, ascii_lower, free_name, mix, row_key, shuffles, stored, text_chunks, word_spans
 
 REGISTERS, BAND, BASE, SCALE, LIMIT = 128, 4, 1.02, 20.0, 65_534
 #: Five standard errors of the estimate near 0.85.
@@ -125,7 +125,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
                     names=["row", "doc_id", "n", "g1", "g2", "sketch"],
                 )
 
-    return docs.mapInArrow(run, "row long, doc_id long, n long, g1 long, g2 long, sketch binary")
+    return docs.mapInArrow(run, f"row {ROW}, doc_id long, n long, g1 long, g2 long, sketch binary")
 
 
 def _keys_of(four: np.ndarray) -> np.ndarray:

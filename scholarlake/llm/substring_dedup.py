@@ -31,17 +31,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, powers, prefix_sums, row_key, shuffles, signed, stored, text_chunks
+from .common import ROW, mix, powers, prefix_sums, row_key, shuffles, signed, stored, text_chunks
 
 GRAM = 32
 #: Low bits of a packed anchor that hold its place in the buffer.
 _PLACE = np.uint64((1 << 22) - 1)
 #: Bytes in one run-length index.
-INDEX_BYTES = 1 << 21
+INDEX_BYTES = 1 << 20
 #: Different contents of one anchor that still go to one index.
 HOT_CONTENTS = 4096
 
-_SEGMENTS = "row long, h long, c long, p0 long, nw int"
+_ROW = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+_SEGMENTS = f"row {ROW}, h long, c long, p0 long, nw int"
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -83,7 +84,7 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            rows = batch.column("row").to_numpy()
+            rows = batch.column("row")
             for lo, _hi, buf, offs in text_chunks(batch.column("text")):
                 # a very long text goes in pieces that share length-1 bytes: each window is in one piece
                 for at in range(0, max(1, len(buf) - length + 1), piece) if len(offs) == 2 else (0,):
@@ -92,7 +93,7 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
                     raw = part.tobytes()
                     c = np.fromiter((digest(raw[a:b]) for a, b in zip(p.tolist(), (p + nw + length - 1).tolist())), np.uint64, len(p))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows[lo + doc]), pa.array(signed(h)), pa.array(signed(c)), pa.array(p - offs[doc] + at), pa.array(nw.astype(np.int32))],
+                        [rows.take(pa.array(lo + doc)), pa.array(signed(h)), pa.array(signed(c)), pa.array(p - offs[doc] + at), pa.array(nw.astype(np.int32))],
                         names=["row", "h", "c", "p0", "nw"],
                     )
 
@@ -219,7 +220,7 @@ def _edge_runs(snippets: DataFrame, length: int) -> DataFrame:
         def mark(rows: list[tuple]) -> pa.RecordBatch:
             out = [(r[2], r[3] + int(a), r[3] + int(b)) for r, runs in zip(rows, marked_runs([r[4] for r in rows], length)) if r[1] == 1 for a, b in runs]
             cols = list(zip(*out)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], names=["row", "q0", "q1"])
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, (_ROW, pa.int64(), pa.int64()))], names=["row", "q0", "q1"])
 
         for batch in batches:
             for r in zip(*(batch.column(x).to_pylist() for x in ("h", "n", "row", "p0", "snippet"))):
@@ -231,7 +232,7 @@ def _edge_runs(snippets: DataFrame, length: int) -> DataFrame:
         if held:
             yield mark(held)
 
-    return snippets.repartition(shuffles(snippets.sparkSession), "h").sortWithinPartitions("h").mapInArrow(run, "row long, q0 long, q1 long")
+    return snippets.repartition(shuffles(snippets.sparkSession), "h").sortWithinPartitions("h").mapInArrow(run, f"row {ROW}, q0 long, q1 long")
 
 
 def _hot_runs(snippets: DataFrame, length: int) -> DataFrame:
@@ -242,9 +243,9 @@ def _hot_runs(snippets: DataFrame, length: int) -> DataFrame:
             for n, row, p0, s in zip(*(batch.column(x).to_pylist() for x in ("n", "row", "p0", "snippet"))):
                 d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s[i : i + length]) for i in range(len(s) - length + 1)), np.int64).reshape(-1, 2)
                 k = len(d)
-                yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(np.full(k, n)), pa.array(np.full(k, row)), pa.array(np.arange(p0, p0 + k))], names=["w1", "w2", "n", "row", "p"])
+                yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(np.full(k, n)), pa.array([row] * k, _ROW), pa.array(np.arange(p0, p0 + k))], names=["w1", "w2", "n", "row", "p"])
 
-    windows = snippets.mapInArrow(run, "w1 long, w2 long, n long, row long, p long")
+    windows = snippets.mapInArrow(run, f"w1 long, w2 long, n long, row {ROW}, p long")
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("k")).where("k > 1")
     return windows.where("n = 1").join(twice, ["w1", "w2"]).select("row", F.col("p").alias("q0"), F.col("p").alias("q1"))
 
@@ -272,13 +273,13 @@ def covered_windows(docs: DataFrame, length: int = 200) -> DataFrame:
             yield _snippet_batch(out)
 
     # copies of a row share its key and give their contents twice; those have n > 1 and are covered anyway
-    snippets = stored(docs.join(edges, "row").mapInArrow(cut, "h long, n long, row long, p0 long, hot boolean, snippet binary"))
+    snippets = stored(docs.join(edges, "row").mapInArrow(cut, f"h long, n long, row {ROW}, p0 long, hot boolean, snippet binary"))
     return whole.unionByName(_edge_runs(snippets.where("not hot"), length)).unionByName(_hot_runs(snippets.where("hot"), length))
 
 
 def _snippet_batch(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) or [()] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), _ROW, pa.int64(), pa.bool_(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], names=["h", "n", "row", "p0", "hot", "snippet"])
 
 
