@@ -7,11 +7,13 @@ of a pattern's last block. Where the shift is zero the bucket's patterns are con
 Many search positions advance at once in numpy; no Python runs per word.
 
 Patterns reach the tasks in blocks of at most BLOCK_ITEMS items and BLOCK_CHARS characters, each
-broadcast on its own, so that what is broadcast is bounded for a benchmark of any size.
+broadcast on its own and PASS_BLOCKS of them for one pass over the documents, so that what is broadcast is
+bounded for a benchmark of any size.
 
-Defined results: null or empty text has no words; an item without words occurs nowhere; repeated items
-count by their item_id (null ids are ignored in lists of items); an empty benchmark or documents table
-gives clean rows or none; extra columns are ignored.
+Defined results: null or empty text has no words; an item without words occurs nowhere; items of one
+item_id are one item; an item without item_id marks words like any other, all such items count as one in the
+number of items, and lists of items hold NULL for them (their digest leaves it out); an empty benchmark or
+documents table gives clean rows or none; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, free_name, mix, ranges, row_key, text_chunks, word_spans
+from .common import ROW, ascii_lower, free_name, mix, ranges, row_key, text_chunks, word_spans
 
 WINDOW = 10
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 32 << 20
+#: Blocks that one pass over the documents searches; their summed tables are what is broadcast at once.
+PASS_BLOCKS = 4
 #: Bits of the shift tables.
 TABLE_BITS = 18
 #: Words that one search position covers.
@@ -105,8 +109,8 @@ class ShiftTable:
 class Searcher:
     """Shift tables of all pattern lengths of a block of items, with the items of each pattern."""
 
-    def __init__(self, items: list[tuple[int, str | None]], window: int = WINDOW):
-        owners: dict[tuple[bytes, ...], set[int]] = defaultdict(set)
+    def __init__(self, items: list[tuple[int | None, str | None]], window: int = WINDOW):
+        owners: dict[tuple[bytes, ...], set[int | None]] = defaultdict(set)
         for item, text in items:
             w = words_of(text)
             for i in range(max(1, len(w) - window + 1) if w else 0):
@@ -114,7 +118,7 @@ class Searcher:
         by_length = defaultdict(list)
         for p in owners:
             by_length[len(p)].append(p)
-        self.tables = [(ShiftTable(n, ps), [sorted(owners[p]) for p in ps]) for n, ps in sorted(by_length.items())]
+        self.tables = [(ShiftTable(n, ps), [list(owners[p]) for p in ps]) for n, ps in sorted(by_length.items())]
 
     def scan(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray, set[int]]]]:
         """Number of words of each document, and (document, hit word numbers, items) where any occurs.
@@ -141,7 +145,7 @@ class Searcher:
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
     """Bounded blocks of items; the driver holds one at a time."""
     held, size = [], 0
-    for item, text in benchmark.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
+    for item, text in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
         if held and (len(held) >= BLOCK_ITEMS or size + len(text) > BLOCK_CHARS):
             yield held
             held, size = [], 0
@@ -151,21 +155,28 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
         yield held
 
 
-_HITS = "doc_id long, row long, n_words long, hits array<int>, items array<long>"
+_HITS = f"doc_id long, row {ROW}, n_words long, hits array<int>, items array<long>"
 
 
-def _hits(docs: DataFrame, searcher: Searcher) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(searcher))
+def _hits(docs: DataFrame, searchers: list[Searcher]) -> DataFrame:
+    context = docs.sparkSession.sparkContext
+    shared = [context.broadcast(pickle.dumps(s)) for s in searchers]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search: Searcher = pickle.loads(shared.value)
+        search: list[Searcher] = [pickle.loads(s.value) for s in shared]
         for batch in batches:
             n_words, hits, items = [], [[]] * len(batch), [[]] * len(batch)
             for lo, _, buf, offs in text_chunks(batch.column("text"), b" "):
-                n, found = search.scan(buf, offs)
+                found: dict[int, tuple[list[np.ndarray], set]] = {}
+                for s in search:
+                    n, some = s.scan(buf, offs)
+                    for d, h, i in some:
+                        spans, own = found.setdefault(d, ([], set()))
+                        spans.append(h)
+                        own.update(i)
                 n_words.append(n)
-                for d, h, i in found:
-                    hits[lo + d], items[lo + d] = h.tolist(), sorted(i)
+                for d, (h, i) in found.items():
+                    hits[lo + d], items[lo + d] = np.unique(np.concatenate(h)).tolist(), sorted(i, key=lambda x: (x is not None, x or 0))
             n_words = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(n_words), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.int64()))], names=["doc_id", "row", "n_words", "hits", "items"])
 
@@ -175,20 +186,27 @@ def _hits(docs: DataFrame, searcher: Searcher) -> DataFrame:
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, row, n_words, hits (numbers of hit words) and items (item_ids that occur) of each document."""
     docs = documents.select("doc_id", row_key().alias("row"), "text")
-    found = [_hits(docs, Searcher(block, window)) for block in _blocks(benchmark)] or [_hits(docs, Searcher([], window))]
+    found, waiting = [], []
+    for block in _blocks(benchmark):
+        waiting.append(Searcher(block, window))
+        if len(waiting) == PASS_BLOCKS:
+            found.append(_hits(docs, waiting))
+            waiting = []
+    if waiting or not found:
+        found.append(_hits(docs, waiting or [Searcher([], window)]))
     if len(found) == 1:
         return found[0]
-    # several blocks: their few hits meet by row; every row stays, from the first block
+    # several passes: their few hits meet by row; every row stays, from the first pass
     more = found[1]
     for x in found[2:]:
         more = more.unionByName(x)
-    more = more.where(F.size("items") > 0).groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("h"), F.flatten(F.collect_list("items")).alias("i"))
+    more = more.where(F.size("hits") > 0).groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("h"), F.flatten(F.collect_list("items")).alias("i"))
     none = lambda c: F.coalesce(c, F.expr("array()"))
     return found[0].join(more, "row", "left").select("doc_id", "row", "n_words", F.array_sort(F.array_union("hits", none(F.col("h")))).alias("hits"), F.array_sort(F.array_union("items", none(F.col("i")))).alias("items"))
 
 
 def digest(found: DataFrame) -> DataFrame:
-    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    ids = F.array_join(F.array_sort(F.transform(F.filter("items", lambda x: x.isNotNull()), lambda x: x.cast("string"))), ",")
     return found.select(
         "doc_id",
         "n_words",
@@ -206,7 +224,7 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int
     return documents.withColumn(row, row_key()).join(bad, row, "left_anti").drop(row)
 
 
-def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]], window: int = WINDOW) -> list[tuple]:
+def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int | None, str | None]], window: int = WINDOW) -> list[tuple]:
     """The digest rows by comparing every place with every window; for tests."""
     import re
 
@@ -222,7 +240,7 @@ def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str |
                     if w[at : at + len(p)] == p:
                         hit.update(range(at, at + len(p)))
                         ids.add(item)
-        out.append((doc, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest(), bool(hit)))
+        out.append((doc, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(str(x) for x in ids if x is not None)).encode()).hexdigest(), bool(hit)))
     return out
 
 
