@@ -5,12 +5,13 @@ are max-pooled, two neighbouring halves make one chunk (chunks overlap by half a
 text), and the mean and the maximum over all chunks go through one logistic unit. A text of any length
 is read in bounded pieces. The score depends on the bytes of the text alone.
 
-Training takes a bounded sample: at most MAX_SAMPLE labelled rows of at most MAX_TRAIN_BYTES bytes,
-the smallest by a hash of doc_id, whole texts. Rows whose crc32(doc_id as text) mod 5 is 0 are never used.
+Training takes a bounded sample: at most MAX_SAMPLE labelled rows that have a document, the smallest by a hash of
+doc_id. Texts of more than MAX_TRAIN_BYTES bytes give four stretches of a quarter of that each, spread over the
+text. Rows whose crc32(doc_id as text) mod 5 is 0 are never used.
 
 Defined results: null and empty texts get the score of an empty text; without usable labels every score
 is 0.5, with one class it is near that class; labels of one document that disagree are each used;
-null labels are ignored; repeated rows get equal scores; an empty table gives no rows; extra columns of
+null labels and labels without document are ignored; repeated rows get equal scores; an empty table gives no rows; extra columns of
 the documents are kept by `keep_good`.
 """
 
@@ -152,15 +153,31 @@ class ByteConvNet:
         return self
 
 
+def windows_of(text: bytes, limit: int) -> list[bytes]:
+    """A text of at most `limit` bytes whole; of a longer one four stretches spread evenly, its beginning and end among them."""
+    if len(text) <= limit:
+        return [text]
+    size = limit // 4
+    return [text[at : at + size] for at in np.linspace(0, len(text) - size, 4).astype(int).tolist()]
+
+
 def train(documents: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, max_bytes: int = MAX_TRAIN_BYTES) -> ByteConvNet:
     """Fit on the bounded sample that the module text describes."""
-    marks = labels.select(F.col("doc_id").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
-    marks = marks.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(4 * max_sample)
-    # the sample's ids are at most 4 * max_sample small rows: a bounded broadcast
-    rows = documents.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes).join(F.broadcast(marks), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(max_sample).collect()
+    marks = labels.select(F.col("doc_id").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("quality")]
+    # ids of documents with labels first, at most max_sample small rows: a bounded broadcast
+    picked = documents.select("doc_id").join(marks, "doc_id").orderBy(*order).limit(max_sample).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [windows_of(t or b"", max_bytes) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(parts, pa.list_(pa.binary()))], names=["doc_id", "quality", "parts"])
+
+    sampled = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "text")
+    rows = sampled.mapInArrow(run, "doc_id long, quality int, parts array<binary>").orderBy(*order, "parts").limit(max_sample).collect()
     net = ByteConvNet()
-    return net.fit([(r["text"] or "").encode() for r in rows], np.array([r["quality"] for r in rows], np.float64)) if rows else net
+    texts = [(bytes(p), r["quality"]) for r in rows for p in r["parts"]]
+    return net.fit([t for t, _ in texts], np.array([q for _, q in texts], np.float64)) if texts else net
 
 
 def score(documents: DataFrame, net: ByteConvNet, column: str = "_score") -> DataFrame:
