@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,12 +108,42 @@ def test_special_strings_and_rare_characters_encode_like_the_library():
 
     t, e = Tokenizer.from_file(BPE), token_output.Encoder(BPE)
     for text in ["a<|endoftext|>b", "naïve  café's x　y", "½² ١٢ क्षि \U0001f600", "  lead", "tail \n\n ", "we'll 'tis 'S", "a_b __x _1 1_ x²y 3¼", "a\x1cb\x1d \x85c\xa0 d", "".join(map(chr, range(1, 0x250))), "Ά·ώ ЀҁЪ  12٣ 가힣 ァヺー"]:
-        assert np.frombuffer(e.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        assert e.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+    rng = random.Random(6)
+    parts = ["'", "s", "t", "re", "ll", "'ve", " ", "  ", "\n", "\t", "x", "1", "é", "!", "''", " '", "日本", "_", "\xa0", "\u3000", ".", "<|endoftext|>", "²"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    got = [x.tolist() for _, ids, n in e.encode_texts(pa.array(texts)) for x in np.split(ids, np.cumsum(n)[:-1])]
+    assert got == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_long_texts_encode_in_windows(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    from scholarlake.llm import chunks
+
+    rng = random.Random(4)
+    texts = [prose(rng, 900), None, "x" * 9000, "日本 " * 3000 + "'s", "\n".join(prose(rng, 40) for _ in range(30)), ""]
+    t, sp = Tokenizer.from_file(BPE), pieces.Encoder(pieces.PieceModel(PIECES), 0.1, 17)
+    whole = [sp.encode(x or "", i) for i, x in enumerate(texts)]
+    small = lambda *a, **k: chunks.text_windows(*a[:2], limit=1000, **k)
+    monkeypatch.setattr(token_output, "text_windows", small)
+    got = {int(r): x.tolist() for rows, ids, n in token_output.Encoder(BPE).encode_texts(pa.array(texts)) for r, x in zip(rows, np.split(ids, np.cumsum(n)[:-1]))}
+    assert got == {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(texts)}
+    monkeypatch.setattr(pieces, "text_windows", lambda texts, lead, _limit, breaks: small(texts, lead, breaks=breaks))
+    got = {int(r): (x.tolist(), bool(o)) for rows, ids, n, ok in sp.encode_texts(pa.array(texts), list(range(6))) for r, x, o in zip(rows, np.split(ids, np.cumsum(n)[:-1]), ok)}
+    assert got == {i: (x, True) for i, x in enumerate(whole)}
+
+
+def test_rows_of_one_doc_id_have_a_determined_order(spark):
+    rows = [(1, f"text {i % 7}") for i in range(40)] + [(2, None), (None, "z")]
+    one = spark.createDataFrame(rows, "doc_id long, text string")
+    a, b = (sorted(map(str, token_output.read_documents(token_output.write_ids(df, BPE)).collect())) for df in (one.repartition(1), one.repartition(5)))
+    assert a == b
 
 
 # 3 decontamination
 
-ITEMS = [(1, " ".join((TEXTS[16] or "").split(" ")[22:40])), (2, "One"), (3, None), (4, ""), (5, "no such words here"), (10, " ".join((TEXTS[5] or "").split(" ")[:12])), (1, "two WORDS!")]
+ITEMS = [(1, " ".join((TEXTS[16] or "").split(" ")[22:40])), (2, "One"), (3, None), (4, ""), (5, "no such words here"), (10, " ".join((TEXTS[5] or "").split(" ")[:12])), (1, "two WORDS!"), (None, "two words"), (None, " ".join((TEXTS[5] or "").split(" ")[40:52]))]
 
 
 def test_decontamination_equals_brute_force(spark, docs, monkeypatch):
@@ -121,8 +152,17 @@ def test_decontamination_equals_brute_force(spark, docs, monkeypatch):
     assert sorted(map(tuple, decontamination.digest(decontamination.contamination(docs, items)).collect())) == want
     kept = {r["doc_id"] for r in decontamination.remove_contaminated(docs, items).collect()}
     assert kept == {w[0] for w in want if not w[-1]}
-    monkeypatch.setattr(decontamination, "BLOCK_ITEMS", 2)  # several broadcast blocks
-    assert sorted(map(tuple, decontamination.digest(decontamination.contamination(docs, items)).collect())) == want
+    monkeypatch.setattr(decontamination, "BLOCK_ITEMS", 2)  # several broadcast blocks, in one pass and in several
+    for blocks in (decontamination.PASS_BLOCKS, 2):
+        monkeypatch.setattr(decontamination, "PASS_BLOCKS", blocks)
+        assert sorted(map(tuple, decontamination.digest(decontamination.contamination(docs, items)).collect())) == want
+
+
+def test_items_without_id_mark_words(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "delta")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "alpha beta"), (7, "gamma"), (None, "delta")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontamination.digest(decontamination.contamination(docs, items)).collect()}
+    assert got == {1: (3, 2, hashlib.sha256(b"7").hexdigest(), True), 2: (1, 1, hashlib.sha256(b"").hexdigest(), True)}
 
 
 def test_shift_table_skips_and_finds_random_patterns():
@@ -157,7 +197,7 @@ def test_encoding_without_dropout_equals_sentencepiece():
     sp, e = sentencepiece.SentencePieceProcessor(model_file=PIECES), pieces.Encoder(pieces.PieceModel(PIECES))
     for t in TEXTS:
         if t and "▁" not in t and "\x00" not in t:
-            assert np.frombuffer(e.encode(t), "<i4").tolist() == sp.encode(t)
+            assert e.encode(t) == sp.encode(t)
 
 
 def test_dropout_is_lossless_seeded_and_varied(spark, docs):
@@ -178,19 +218,27 @@ def test_dropout_varies_between_occurrences_and_equals_the_plain_method(spark, m
     ids = [r["ids"] for r in pieces.encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), PIECES).orderBy("doc_id").collect()]
     assert ids[0] != ids[1] == ids[2]
     model = pieces.PieceModel(PIECES)
-    whole = pieces.Encoder(model).merge(" " + word)[0]
+    whole = model.merge(" " + word)
     for found in ids[:2]:
         starts = [i for i, x in enumerate(found) if model.bytes[x].startswith(b" ")]
         seen = [tuple(found[a:b]) for a, b in zip(starts, [*starts[1:], None])]
         assert len(seen) == 200 and len(set(seen)) > 3 and tuple(whole) in seen
-    # memory changes no ids: one without, one that is full at once, one shared by all texts
-    shared = pieces.Encoder(model, 0.1, 17)
-    got = [shared.encode(t, i % 3) for i, t in enumerate(texts)]
-    for held in (0, 30):
-        monkeypatch.setattr(pieces, "MEMORY", held)
-        assert got == [pieces.Encoder(model, 0.1, 17).encode(t, i % 3) for i, t in enumerate(texts)]
-    drawn = list(pieces.skipped(5, 0.1, 200_000))
-    assert drawn == list(pieces.skipped(5, 0.1, 200_000, 1000)) and abs(len(drawn) - 20_000) < 600
+    # every chunk alone, with a heap, gives the same; so does a memory that is full at once
+    texts = [*texts, TEXTS[9], TEXTS[12], TEXTS[13], "Ωmega ẞ " * 40]
+    plain = []
+    for i, t in enumerate(texts):
+        key, place, out = pieces.Encoder(model, 0.1, 17).document_key(t.encode(), i % 3), 0, []
+        for chunk in pieces.CHUNKS[0][0].findall(" " + t):
+            out += model.merge(chunk, pieces.skips_of(pieces.chunk_key(key, place)[0], 0.1))
+            place += len(chunk.encode())
+        plain.append(out)
+    for bits in (pieces.MEMORY_BITS, 11):
+        monkeypatch.setattr(pieces, "MEMORY_BITS", bits)
+        shared = pieces.Encoder(model, 0.1, 17)
+        assert [shared.encode(t, i % 3) for i, t in enumerate(texts)] == plain
+    keys = np.random.default_rng(0).integers(0, 1 << 62, 2000).astype(np.uint64)
+    drawn = pieces.skip_rows(keys, np.full(2000, 100), 0.1)
+    assert abs(int((drawn < 100).sum()) - 20_000) < 600 and (pieces.skip_rows(keys, np.full(2000, 100), 0.0) >= 100).all()
 
 
 # 6 near-dedup
@@ -271,17 +319,26 @@ def _lines_by_hand(rows, min_chars=40, min_docs=5):
     return out
 
 
-def test_line_dedup_equals_brute_force(spark, docs, monkeypatch):
+def test_line_dedup_equals_brute_force(spark, docs):
     want = _lines_by_hand(list(enumerate(TEXTS)))
     assert sum(w[1] for w in want.values()) > 4
-    for bound in (line_dedup.FILTER_BYTES, -1):  # with filters, and by the exact join alone
-        monkeypatch.setattr(line_dedup, "FILTER_BYTES", bound)
-        out = line_dedup.drop_repeated_lines(docs)
-        assert out.columns == [*docs.columns, "_n_lines", "_n_dropped"]
-        assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in line_dedup.digest(out).collect()} == want
+    out = line_dedup.drop_repeated_lines(docs)
+    assert out.columns == [*docs.columns, "_n_lines", "_n_dropped"]
+    assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in line_dedup.digest(out).collect()} == want
+
+
+def test_rows_of_one_doc_id_are_one_document(spark):
+    line = "A line of more than forty characters, as it has to be."
+    rows = [(1, line), (1, line), (1, line), (2, line), (2, line), (None, line), (None, None)]
+    df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, _n_lines int")
+    names = ("lines", "lost")
+    assert all(r["lost"] == 0 and r["_n_lines"] == 5 for r in line_dedup.drop_repeated_lines(df, counts=names).collect())
+    more = df.unionByName(spark.createDataFrame([(i, line, 5) for i in (3, 4, 5)], df.schema))
+    got = sorted((r["doc_id"], r["lost"]) for r in line_dedup.drop_repeated_lines(more, counts=names).where("doc_id is not null").collect())
+    assert got == [(1, 1)] * 3 + [(2, 1)] * 2 + [(3, 1), (4, 1), (5, 0)]
 
 
-def test_counts_are_reversible(spark):
+def test_counts_and_filters_are_reversible(spark):
     docs = documents(spark, TEXTS)
     refs = line_dedup.count_lines(docs, shards=4)
     more = docs.where("doc_id >= 20").withColumn("doc_id", F.col("doc_id") + 1000)
@@ -290,6 +347,22 @@ def test_counts_are_reversible(spark):
     rows = lambda df: sorted(map(tuple, df.select("shard", "k1", "k2", "refs").collect()))
     assert rows(grown) == rows(whole) != rows(refs)
     assert rows(line_dedup.update_counts(grown, removed=more)) == rows(refs)
+    # a table with most shards empty, and filters that follow the counts there and back
+    line = "Line {} of a text that is long enough to count here."
+    few = spark.createDataFrame([(d, "\n".join(line.format(i) for i in range(d % 4, 8))) for d in range(7)], "doc_id long, text string")
+    extra = spark.createDataFrame([(100 + d, "\n".join(line.format(i) for i in range(0, 20))) for d in range(5)], "doc_id long, text string")
+    old = line_dedup.count_lines(few, shards=64)
+    new = line_dedup.update_counts(old, added=extra)
+    frequent = lambda r: r.where("refs >= 5")
+    filters = line_dedup.update_filters(line_dedup.build_filters(frequent(old)), old, new)
+    both = few.unionByName(extra)
+    digests = lambda df, **k: sorted(map(tuple, line_dedup.digest(line_dedup.drop_repeated_lines(df, **k)).collect()))
+    assert digests(both, refs=new, filters=filters) == digests(both) != digests(both, refs=old)
+    back = line_dedup.update_filters(filters, new, old)
+    for r in back.collect():
+        f, keys = line_dedup.CuckooFilter.from_bytes(r["filter"]), frequent(old).where(F.col("shard") == r["shard"]).collect()
+        assert (f.cells > 0).sum() == len(keys)
+    assert digests(few, refs=old, filters=back) == digests(few)
 
 
 def test_cuckoo_filter_inserts_and_deletes():
@@ -370,6 +443,65 @@ def test_scores_do_not_depend_on_neighbours():
     assert np.allclose(together, alone, atol=1e-6)
 
 
+def _plain_features(net, text: bytes) -> np.ndarray:
+    """Mean and maximum over chunks of the largest filter responses, window by window."""
+    data = np.frombuffer(text + bytes(quality.HALF + quality.WIDTH), np.uint8)
+    n = max(1, -(-(len(text) + quality.WIDTH) // quality.HALF))
+    halves = np.zeros((n, quality.FILTERS))
+    for h in range(n):
+        for at in range(h * quality.HALF, (h + 1) * quality.HALF, quality.STEP):
+            if at + quality.WIDTH <= n * quality.HALF:  # the window that would leave the layout counts as 0
+                x = net.p["bytes"][data[at : at + quality.WIDTH]].astype(float).ravel()
+                halves[h] = np.maximum(halves[h], x @ net.p["filters"].astype(float) + net.p["shift"])
+    chunks = np.array([np.maximum(halves[i], halves[min(i + 1, n - 1)]) for i in range(max(1, n - 1))])
+    return np.concatenate([chunks.mean(0), chunks.max(0)])
+
+
+def test_forward_pass_and_gradient_equal_plain_ones(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(32, 127, n).astype(np.uint8).tobytes() for n in (0, 3, 300, 900, 2000, 700)]
+    labels = np.array([0.0, 1, 1, 0, 1, 0])
+    net = quality.ByteConvNet()
+    net.trained = True
+
+    def loss() -> float:
+        p = np.array([1 / (1 + np.exp(-(_plain_features(net, t) @ net.p["out"].astype(float) + float(net.p["bias"][0])))) for t in texts])
+        return float(-(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean())
+
+    offs = np.cumsum([0, *map(len, texts)])
+    got = net.score(np.frombuffer(b"".join(texts), np.uint8), offs)
+    want = [1 / (1 + np.exp(-(_plain_features(net, t) @ net.p["out"] + net.p["bias"][0]))) for t in texts]
+    assert np.allclose(got, want, atol=1e-5)
+    # one step of training moves each parameter against its numerical gradient
+    before = {k: v.copy() for k, v in net.p.items()}
+    monkeypatch.setattr(quality, "EPOCHS", 1)
+    net.p["bias"][:] = np.log(labels.mean() / (1 - labels.mean()))
+    before["bias"] = net.p["bias"].copy()
+    net.fit(texts, labels)
+    step = {k: net.p[k] - before[k] for k in before}
+    net.p = {k: v.astype(float) for k, v in before.items()}
+    for k, places in {"bias": [(0,)], "out": [(0,), (17,), (31,)], "shift": [(1,), (9,)], "filters": [(5, 3), (40, 12)], "bytes": [(65, 2), (100, 7)]}.items():
+        for at in places:
+            e, old = 1e-5, net.p[k][at]
+            net.p[k][at] = old + e
+            up = loss()
+            net.p[k][at] = old - e
+            slope = (up - loss()) / (2 * e)
+            net.p[k][at] = old
+            if abs(slope) > 1e-5:
+                assert np.sign(step[k][at]) == -np.sign(slope), (k, at)
+
+
+def test_sample_is_taken_from_labels_that_have_documents(spark):
+    rng = random.Random(3)
+    texts = [prose(rng, 60) if i % 2 else prose(rng, 60).upper().replace(" ", "!! ") for i in range(200)]
+    texts[7] = " ".join(prose(rng, 200) for _ in range(60))  # a long one gives windows
+    assert len(texts[7].encode()) > quality.MAX_TRAIN_BYTES and len(quality.windows_of(texts[7].encode(), quality.MAX_TRAIN_BYTES)) == 4
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(10_000 + i, 1) for i in range(20_000)], "doc_id long, quality int")
+    net = quality.train(documents(spark, texts), labels, max_sample=60)
+    assert net.trained
+
+
 def test_no_labels_give_even_scores(spark):
     docs = documents(spark, ["a", None])
     assert [r["score"] for r in quality.classify(docs, spark.createDataFrame([], "doc_id long, quality int")).collect()] == [0.5, 0.5]
@@ -388,8 +520,9 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     data = [(i, x, 0) for i, x in rows.items() if i < 900] + [(i, x, 0) for i, x in bad] + [(7, rows[7], 1)]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>, dim int").repartition(3)
     want = nearest.brute_force(rows)
-    for strip in (nearest.STRIP_ROWS, 150):
-        monkeypatch.setattr(nearest, "STRIP_ROWS", strip)
+    for batch, every in ((nearest.BATCH_BYTES, nearest.FLOOR_EVERY), (1500, 3)):  # one broadcast, and several with floors
+        monkeypatch.setattr(nearest, "BATCH_BYTES", batch)
+        monkeypatch.setattr(nearest, "FLOOR_EVERY", every)
         monkeypatch.setattr(nearest, "QUERY_ROWS", 8)
         monkeypatch.setattr(nearest, "BLOCK_ROWS", 64)
         got = sorted(map(tuple, nearest.nearest(df).collect()))
@@ -398,6 +531,18 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     assert nearest.nearest(df.limit(0)).count() == 0
 
 
+def test_wide_vectors_stay_inside_their_bounds(spark):
+    rng = np.random.default_rng(1)
+    v = rng.integers(-3, 4, (300, 4096)).astype(float)
+    v[:, 0] = 127 * 3
+    q, c = nearest.Codes(v[:40]), nearest.Codes(v)
+    est, err = nearest.tile_bounds(q, c)
+    assert (np.abs(v[:40] @ v.T - est) <= err).all()
+    rows = {i: x.tolist() for i, x in enumerate(v[:120])}
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, nearest.nearest(df, 5).collect())) == nearest.brute_force(rows, 5)
+
+
 # empty tables and repeated rows
 
 
