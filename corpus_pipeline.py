@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarlake.llm import decontamination, line_dedup, near_dedup, pieces, quality
-from scholarlake.llm.common import stored, table
+from scholarlake.llm.common import free_name, stored, table
 from scholarlake.llm.queries import tokenizer_path
 
 
@@ -20,7 +20,8 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose repeated lines; n_chars follows the text."""
-    out = line_dedup.drop_repeated_lines(docs).drop("_n_lines", "_n_dropped")
+    names = free_name(docs, "_lines"), free_name(docs, "_lost")
+    out = line_dedup.drop_repeated_lines(docs, counts=names).drop(*names)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
