@@ -74,5 +74,5 @@ def article_details(pages: DataFrame, page_id: str = "page_id", body: str = "htm
         F.array_distinct(words).alias("keywords"),
         F.trim(F.regexp_replace(first("citation_doi", "dc.identifier"), "(?i)^doi:", "")).alias("doi"),
         first("citation_pdf_url").alias("pdf_url"),
-        F.regexp_extract(F.coalesce(first("citation_publication_date", "dc.date"), F.lit("")), r"(?:19|20)\d{2}", 0).try_cast("int").alias("publication_year"),
+        F.regexp_extract(F.coalesce(first("citation_publication_date", "dc.date"), F.lit("")), r"\b(?:19|20)\d{2}\b", 0).try_cast("int").alias("publication_year"),
     )

@@ -206,6 +206,21 @@ def has_elements(c: Column | str) -> Column:
     return F.coalesce(F.size(col(c)) > 0, F.lit(False))
 
 
+def json_length(c: Column | str) -> Column:
+    """Elements of a JSON array as text; NULL for NULL and for anything else than an array."""
+    return F.json_array_length(col(c))
+
+
+def has_json_elements(c: Column | str) -> Column:
+    return F.coalesce(json_length(c) > 0, F.lit(False))
+
+
+def row_hash(*columns: Column | str) -> Column:
+    """xxhash64 that tells a NULL in one column from a NULL in the next."""
+    parts = [col(c) for c in columns]
+    return F.xxhash64(*(x for c in parts for x in (c.isNull(), c)))
+
+
 def quality_score(abstract: Column, doi: Column, references: Column, tldr: Column) -> Column:
     """0 to 4: non-blank abstract, doi and tldr, and known references."""
     return sum(((x).cast("int") for x in (~is_blank(abstract), ~is_blank(doi), references.isNotNull(), ~is_blank(tldr))), F.lit(0))

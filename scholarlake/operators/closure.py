@@ -119,6 +119,12 @@ def verify_prune(tables: dict[str, DataFrame], kept: dict[str, DataFrame], items
     return again.unionByName(missing.select(F.lit("manifest_complete").alias("check_name"), (F.col("observed") == 0).alias("ok"), "observed"))
 
 
+def record_stage(checkpoints: DataFrame, run: str, checksum: str, stage: str, removed: DataFrame) -> DataFrame:
+    """Checkpoints (run, stage, checksum, status, removed) after a stage of a run is done; `removed` has one row and the column `removed`."""
+    done = removed.select(F.lit(run).alias("run"), F.lit(stage).alias("stage"), F.lit(checksum).alias("checksum"), F.lit("done").alias("status"), F.col("removed").cast("long").alias("removed"))
+    return checkpoints.where((F.col("run") != run) | (F.col("stage") != stage)).unionByName(done)
+
+
 def next_stages(checkpoints: DataFrame, run: str, checksum: str, stages: tuple[str, ...] = PRUNE_STAGES) -> list[str]:
     """Stages of a run that are still to do; an error if the manifest changed since the run began."""
     rows = checkpoints.where(F.col("run") == run).select("stage", "checksum", "status").limit(2 * len(stages)).collect()

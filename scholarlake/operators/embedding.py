@@ -6,16 +6,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scholarlake.functions import scalars as S
+from scholarlake.operators.candidates import counting_skipped
 
 
 def pending(articles: DataFrame) -> DataFrame:
     """article_id and text of live articles without embedding; blank texts are left out."""
+    return pending_counted(articles)[0]
+
+
+def pending_counted(articles: DataFrame) -> tuple[DataFrame, Observation]:
+    """pending, and an observation of how many there were and how many blank texts were skipped."""
     live = articles.where(F.col("embedding").isNull() & ~F.coalesce("is_deleted", F.lit(False)))
-    return live.select("article_id", S.article_text("title", "abstract").alias("text")).where("text <> ''")
+    return counting_skipped(live.select("article_id", S.article_text("title", "abstract").alias("text")), F.col("text") != "")
 
 
 def embed(texts: DataFrame, make_model: Callable[[], Callable[[list[str]], list]], dim: int, batch: int = 16, normalize: bool = False) -> DataFrame:

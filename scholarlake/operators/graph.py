@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarlake.functions import scalars as S
+from scholarlake.operators import resolve
 
 
 def nodes(df: DataFrame, key: str, properties: list[str], cap: int | None = None) -> DataFrame:
@@ -35,14 +36,57 @@ SCHEMA_EDGES = (
     ("AFFILIATED_WITH", "Institution_Author", "author_id", "institution_id", ("year",)),
     ("HAS_TOPIC", "Sub_Topic", "article_id", "topic_id", ()),
     ("HAS_KEYWORD", "Keyword_Article", "article_id", "keyword_id", ()),
+    ("LOCATED_IN", "Journal", "journal_id", "country", ()),
+    ("BELONGS_TO", "Journal_Subject_Category", "journal_id", "subject_category_id", ()),
+    ("PART_OF", "Subject_Category", "subject_category_id", "subject_area_id", ()),
 )
+#: Node label: key column, properties {name: column}.
+SCHEMA_NODES = {
+    "Publisher": ("publisher_id", {"name": "display_name"}),
+    "Journal": ("journal_id", {"name": "display_name", "type": "type", "open_access": "is_open_access", "diamond_oa": "is_oa_diamond", "issn": "issn"}),
+    "Volume": ("volume_id", {"volume_number": "volume_number", "publication_year": "publication_year"}),
+    "Issue": ("issue_id", {"issue_number": "issue_number", "publication_year": "publication_year"}),
+    "Author": ("author_id", {"name": "display_name", "h_index": "h_index", "cited_by_count": "cited_by_count"}),
+    "Institution": ("institution_id", {"name": "display_name", "type": "type"}),
+    "Article": ("article_id", {"title": "title", "doi": "doi", "publication_year": "publication_year"}),
+    "Topic": ("topic_id", {"name": "display_name"}),
+    "Keyword": ("keyword_id", {"name": "display_name"}),
+}
+
+
+def _live(df: DataFrame) -> DataFrame:
+    return df.where(~F.coalesce("is_deleted", F.lit(False))) if "is_deleted" in df.columns else df
+
+
+def schema_nodes(tables: dict[str, DataFrame], cap: int | None = None) -> dict[str, DataFrame]:
+    """Node frame of each label that has a table: id and properties of live rows; absent property columns are left out, DOIs are trimmed and in lower case."""
+    out = {}
+    for label, (key, properties) in SCHEMA_NODES.items():
+        if label in tables:
+            df = _live(tables[label])
+            value = lambda name, c: (F.nullif(F.lower(F.trim(c)), F.lit("")) if c == "doi" else F.col(c)).alias(name)
+            named = {n: c for n, c in properties.items() if c in df.columns}
+            out[label] = nodes(df.select(key, *(value(n, c) for n, c in named.items())), key, list(named), cap)
+    return out
 
 
 def schema_edges(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All edges of SCHEMA_EDGES between existing nodes, by type; ends are checked where their table is given."""
+    """All edges of SCHEMA_EDGES between live nodes, by type, and PUBLISHED_IN from articles through issue and volume to journals.
+
+    Ends are checked where their table is given.
+    """
     owner = {"publisher_id": "Publisher", "journal_id": "Journal", "volume_id": "Volume", "issue_id": "Issue", "article_id": "Article", "author_id": "Author", "institution_id": "Institution", "topic_id": "Topic", "keyword_id": "Keyword"}
-    known = lambda c: tables[owner[c]].select(c) if owner[c] in tables else None
-    return {kind: edges(tables[t], a, b, kind, known(a), known(b), props) for kind, t, a, b, props in SCHEMA_EDGES if t in tables}
+    zone = {"country": ("Zone", "zone_id"), "subject_category_id": ("Subject_Category", "subject_category_id"), "subject_area_id": ("Subject_Area", "subject_area_id")}
+
+    def known(c: str) -> DataFrame | None:
+        name, column = zone.get(c) or (owner[c], c)
+        return _live(tables[name]).select(column) if name in tables else None
+
+    out = {kind: edges(_live(tables[t]), a, b, kind, known(a), known(b), props) for kind, t, a, b, props in SCHEMA_EDGES if t in tables and {a, b} <= set(tables[t].columns)}
+    if all(t in tables for t in ("Article", "Issue", "Volume", "Journal")):
+        shortcut = resolve.hierarchy(tables["Article"], tables["Issue"], tables["Volume"], tables["Journal"])
+        out["PUBLISHED_IN"] = edges(shortcut, "article_id", "journal_id", "PUBLISHED_IN")
+    return out
 
 
 def citation_edges(references: DataFrame, articles: DataFrame) -> DataFrame:

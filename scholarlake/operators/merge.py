@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scholarlake.functions import scalars as S
+
 
 def common_columns(source: DataFrame, target: DataFrame) -> list[str]:
     """Columns of both tables, in the source's order."""
@@ -29,6 +31,59 @@ def full_upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> Dat
     return current.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh.select(*current.columns))
 
 
+def update_known(current: DataFrame, incoming: DataFrame, keys: list[str], restore: str | None = "is_deleted") -> DataFrame:
+    """Incoming rows update those of equal key and are added where there is none; an incoming NULL keeps the known value, `restore` becomes false."""
+    fresh = latest(incoming, keys)
+    values = [c for c in fresh.columns if c not in keys and c != restore]
+    new = fresh.select(*keys, *(F.col(c).alias(f"_new_{c}") for c in values), F.lit(True).alias("_there"))
+    put = lambda c: F.coalesce(f"_new_{c}", c).alias(c) if c in values else F.when(F.col("_there"), False).otherwise(F.col(c)).alias(c) if c == restore else F.col(c)
+    return current.join(new, keys, "full").select(*(put(c) for c in current.columns))
+
+
+def get_or_create_keyed(current: DataFrame, incoming: DataFrame, id_column: str, keys: list[str]) -> DataFrame:
+    """The table with a row for every incoming key, NULLs in keys being equal; new ids are hashes of the key."""
+    new, old = incoming.select(*keys).distinct(), current.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    fresh = new.join(old, same, "left_anti").withColumn(id_column, S.row_hash(*keys))
+    if "is_deleted" in current.columns:
+        fresh = fresh.withColumn("is_deleted", F.lit(False))
+    return current.unionByName(fresh, allowMissingColumns=True)
+
+
+def _with_id(rows: DataFrame, dim: DataFrame, id_column: str, keys: dict[str, str]) -> DataFrame:
+    """rows with the smallest id of the dimension row of equal keys {row column: dimension column}, NULLs being equal."""
+    ids = dim.groupBy(*(F.col(v).alias(f"_{v}") for v in keys.values())).agg(F.min(id_column).alias(id_column))
+    same = F.lit(True)
+    for k, v in keys.items():
+        same &= F.col(k).eqNullSafe(F.col(f"_{v}"))
+    return rows.join(ids, same, "left").drop(*(f"_{v}" for v in keys.values()))
+
+
+def volumes_and_issues(rows: DataFrame, volumes: DataFrame, issues: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Volumes, issues and rows (journal_id, volume, issue, publication_year) with issue_id.
+
+    A volume is a journal's number and year, an issue a volume's number and year; a volume that is met again is
+    no longer deleted. Rows without journal or volume number have neither, rows without issue number no issue.
+    """
+    in_volume = rows.where("journal_id is not null and volume is not null").select("journal_id", F.col("volume").alias("volume_number"), "publication_year").distinct()
+    keys = ["journal_id", "volume_number", "publication_year"]
+    out = get_or_create_keyed(volumes, in_volume, "volume_id", keys)
+    if "is_deleted" in volumes.columns:
+        met = in_volume.select(*(F.col(k).alias(f"_{k}") for k in keys), F.lit(True).alias("_met"))
+        same = F.lit(True)
+        for k in keys:
+            same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+        out = out.join(met, same, "left").withColumn("is_deleted", F.when(F.col("_met"), False).otherwise(F.col("is_deleted"))).select(*volumes.columns)
+    placed = _with_id(rows, out, "volume_id", {"journal_id": "journal_id", "volume": "volume_number", "publication_year": "publication_year"})
+    placed = placed.withColumn("volume_id", F.when(F.col("journal_id").isNotNull() & F.col("volume").isNotNull(), F.col("volume_id")))
+    in_issue = placed.where("volume_id is not null and issue is not null").select("volume_id", F.col("issue").alias("issue_number"), "publication_year")
+    known = get_or_create_keyed(issues, in_issue, "issue_id", ["volume_id", "issue_number", "publication_year"])
+    placed = _with_id(placed, known, "issue_id", {"volume_id": "volume_id", "issue": "issue_number", "publication_year": "publication_year"})
+    return out, known, placed.withColumn("issue_id", F.when(F.col("volume_id").isNotNull() & F.col("issue").isNotNull(), F.col("issue_id"))).drop("volume_id")
+
+
 def changed_rows(current: DataFrame, incoming: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
     """Incoming rows that are new or differ from the table in a tracked column (nulls are equal)."""
     old = current.select(*keys, *(F.col(c).alias(f"_old_{c}") for c in tracked), F.lit(True).alias("_there"))
@@ -124,6 +179,19 @@ def get_or_create_articles(articles: DataFrame, works: DataFrame, literal_nulls:
     return works.join(a, (F.col("title") == F.col("_t")) & same_issue, "left").drop("_t", "_i")
 
 
+def resolve_works(articles: DataFrame, works: DataFrame) -> DataFrame:
+    """Works (title, issue_id, doi) with article_id: of equal DOI, else of equal title and issue unless both have DOIs; new ones get a hash.
+
+    NULL issues are equal. Works of one new DOI, or of one new title and issue without DOI, are one article.
+    """
+    by_doi = articles.where("doi is not null").groupBy(F.col("doi").alias("_d")).agg(F.min("article_id").alias("_by_doi"))
+    a = articles.groupBy(F.col("title").alias("_t"), F.col("issue_id").alias("_i")).agg(F.min("article_id").alias("_any"), F.min(F.when(F.col("doi").isNull(), F.col("article_id"))).alias("_bare"))
+    out = works.join(by_doi, F.col("doi") == F.col("_d"), "left").join(a, (F.col("title") == F.col("_t")) & F.col("issue_id").eqNullSafe(F.col("_i")), "left")
+    new = F.when(F.col("doi").isNotNull(), F.xxhash64(F.lit("doi"), "doi")).otherwise(S.row_hash(F.lit("title"), "title", "issue_id"))
+    by_title = F.when(F.col("doi").isNull(), F.col("_any")).otherwise(F.col("_bare"))
+    return out.withColumn("article_id", F.coalesce("_by_doi", by_title, new)).drop("_d", "_by_doi", "_t", "_i", "_any", "_bare")
+
+
 def ranking_upsert(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Rankings on (journal, metric, year, values with defaults); category and time of an equal key are replaced."""
     key = lambda: [F.col("journal_id"), F.col("metric_id"), F.col("year"), F.coalesce("value_txt", F.lit("")).alias("_t"), F.coalesce("value_int", F.lit(0)).alias("_i"), F.coalesce("value_float", F.lit(0.0)).alias("_f")]

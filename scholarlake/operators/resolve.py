@@ -75,9 +75,13 @@ def match_papers(papers: DataFrame, articles: DataFrame) -> DataFrame:
     """paper_id, article_id, step: by DOI, else by title in lower case with years at most one apart (an unknown year fits)."""
     by_doi = papers.select("paper_id", S.normalize_doi("doi").alias("d")).join(articles.select("article_id", S.normalize_doi("doi").alias("d")), "d").groupBy("paper_id").agg(F.min("article_id").alias("article_id"))
     left = papers.join(by_doi, "paper_id", "left_anti").select("paper_id", F.lower(F.trim("title")).alias("t"), F.col("year").alias("y1"))
-    titles = articles.select("article_id", F.lower(F.trim("title")).alias("t"), F.col("publication_year").alias("y2"))
-    near = F.coalesce(F.abs(F.col("y1") - F.col("y2")) <= 1, F.lit(True))
-    by_title = left.join(titles, "t").where(near).groupBy("paper_id").agg(F.min("article_id").alias("article_id"))
+    # one row for each title and year, so that a common title joins its years and not its articles
+    titles = articles.where("title is not null").groupBy(F.lower(F.trim("title")).alias("t"), F.col("publication_year").alias("y")).agg(F.min("article_id").alias("a"))
+    whole = titles.groupBy("t").agg(F.min("a").alias("any_year"), F.min(F.when(F.col("y").isNull(), F.col("a"))).alias("no_year"))
+    around = left.where("y1 is not null").select("paper_id", "t", F.explode(F.array(F.col("y1") - 1, F.col("y1"), F.col("y1") + 1)).alias("y"))
+    dated = around.join(titles, ["t", "y"]).groupBy("paper_id").agg(F.min("a").alias("a"))
+    undated = left.join(whole, "t").select("paper_id", F.when(F.col("y1").isNull(), F.col("any_year")).otherwise(F.col("no_year")).alias("a"))
+    by_title = dated.unionByName(undated.where("a is not null")).groupBy("paper_id").agg(F.min("a").alias("article_id"))
     found = by_doi.withColumn("step", F.lit("doi")).unionByName(by_title.withColumn("step", F.lit("title")))
     return papers.select("paper_id").join(found, "paper_id", "left")
 
@@ -92,6 +96,14 @@ def resolve_references(articles: DataFrame, mapping: DataFrame) -> DataFrame:
     return articles.select("article_id").join(sets, "article_id", "left").select("article_id", F.coalesce("references", F.array().cast("array<string>")).alias("references"))
 
 
+def merge_references(articles: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Articles after their stored references were united with the DOIs they resolve to; live ones with references change, their count too."""
+    live = ~F.coalesce("is_deleted", F.lit(False)) if "is_deleted" in articles.columns else F.lit(True)
+    found = resolve_references(articles.where(live & S.has_elements("references")), mapping).select("article_id", F.col("references").alias("_r"))
+    out = articles.join(found, "article_id", "left")
+    return out.withColumn("reference_count", F.coalesce(F.when(F.col("_r").isNotNull(), F.size("_r")).cast(articles.schema["reference_count"].dataType), "reference_count")).withColumn("references", F.coalesce("_r", "references")).select(*articles.columns)
+
+
 def object_references(payload: Column | str) -> Column:
     """DOIs of reference objects in a JSON array."""
     items = F.from_json(S.col(payload), "array<struct<externalIds:map<string,string>>>")

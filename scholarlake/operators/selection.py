@@ -45,7 +45,8 @@ def balanced_selection(features: DataFrame, bookmarks: DataFrame, target: int) -
     turns = ranked.withColumn("area_round_rank", F.row_number().over(by_area).cast("long"))
     pick = lambda df, priority, turn, reason: df.select(*KEPT, F.lit(priority).alias("priority"), turn.alias("area_round_rank"), F.lit(reason).alias("selection_reason"))
     marked = pick(features.join(bookmarks.select("article_id").distinct(), "article_id", "left_semi"), 0, F.lit(0).cast("long"), "bookmarked")
-    heads = pick(turns.where("topic_rank = 1"), 1, F.col("area_round_rank"), "topic_representative")
+    # from `ranked`: their order needs no turn, and the turns' window keeps its limit
+    heads = pick(ranked.where("topic_rank = 1"), 1, F.lit(0).cast("long"), "topic_representative")
     rest = pick(turns.where("topic_rank > 1").where(F.col("area_round_rank") <= target), 2, F.col("area_round_rank"), "subject_area_balanced")
     others = heads.unionByName(rest).join(bookmarks.select("article_id").distinct(), "article_id", "left_anti")
     order = [

@@ -15,12 +15,14 @@ from scholarlake.sources import readers
 from scholarlake.streaming import landed
 
 
-def import_ranking(raw: DataFrame, tables: dict[str, DataFrame], year: int) -> dict[str, DataFrame]:
+def import_ranking(raw: DataFrame, tables: dict[str, DataFrame], year: int, limit: int | None = None) -> dict[str, DataFrame]:
     """Publisher, Zone, Subject_Area, Subject_Category, Journal, Journal_Subject_Category and Journal_Ranking after a ranking file.
 
-    Journals are found by source id, then by ISSN; unknown ones get xxhash64 ids of their source id.
+    Journals are found by source id, then by ISSN; unknown ones get xxhash64 ids of their source id. Values that
+    the file lacks keep what is known of a journal. `limit` takes the file's first rows alone.
     """
-    rows = readers.require_source_and_title(readers.map_ranking_columns(raw))
+    rows = readers.map_ranking_columns(raw)
+    rows = readers.require_source_and_title(rows.limit(limit) if limit else rows)
     named = lambda c: rows.where(F.trim(c) != "").select(F.trim(c).alias("display_name"))
     out = dict(tables)
     out["Publisher"] = merge.get_or_create(tables["Publisher"], named("publisher"), "id", ["display_name"], hashed=True)
@@ -34,8 +36,8 @@ def import_ranking(raw: DataFrame, tables: dict[str, DataFrame], year: int) -> d
     keyed = resolve.resolve_journals(rows.withColumn("row_id", F.xxhash64("source_id", "title")).dropDuplicates(["row_id"]), tables["Journal"]).withColumn("journal_id", F.coalesce("journal_id", F.xxhash64("source_id")))
     publishers = out["Publisher"].groupBy("display_name").agg(F.min("id").alias("publisher_id"))
     typed = rankings.typed_journals(keyed.withColumn("publisher", F.trim("publisher"))).join(keyed.select("source_id", "title", "journal_id"), ["source_id", "title"])
-    journals = typed.join(publishers, typed.publisher == publishers.display_name, "left").select("journal_id", "source_id", F.col("title").alias("name"), "type", "issn", "publisher_id", "country", "region", "is_open_access", "is_diamond", F.lit(False).alias("is_deleted"))
-    out["Journal"] = merge.full_upsert(tables["Journal"], journals.select(*tables["Journal"].columns), ["journal_id"])
+    journals = typed.join(publishers, typed.publisher == publishers.display_name, "left").select("journal_id", "source_id", F.col("title").alias("name"), "type", "issn", "publisher_id", "country", "region", "is_open_access", "is_diamond", F.lit(False).alias("is_deleted")).withColumns({c: F.when(~S.is_blank(c), F.col(c)) for c in ("type", "issn", "country", "region")})
+    out["Journal"] = merge.update_known(tables["Journal"], journals.select(*tables["Journal"].columns), ["journal_id"])
 
     pairs = rankings.journal_categories(keyed)
     areas = pairs.select(F.col("area").alias("display_name"))
@@ -54,33 +56,42 @@ def import_ranking(raw: DataFrame, tables: dict[str, DataFrame], year: int) -> d
 
 
 def sync_works(works: DataFrame, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Topic, Article, Author, Author_Article and Keyword_Article after landed works; new rows get xxhash64 ids."""
-    out = dict(tables)
-    keyed = works.withColumn("article_key", F.xxhash64("title", "biblio.volume", "biblio.issue"))
-    arts = landed.articles_of(keyed).select("*")
+    """Topic, Volume, Issue, Article, Author, Author_Article, Keyword and Keyword_Article after landed works; new rows get xxhash64 ids.
+
+    Works with a journal_id get their volume and issue where the tables hold Volume and Issue. A work is the article of
+    its DOI, else that of its title and issue.
+    """
+    out, none = dict(tables), F.lit(None).cast("long")
+    if "journal_id" not in works.columns:
+        works = works.withColumn("journal_id", none)
+    keyed = works.withColumn("work_key", S.row_hash("id", "title", "doi", "publication_year", F.col("biblio.volume"), F.col("biblio.issue"), "journal_id"))
+    arts = landed.articles_of(keyed, "work_key", "journal_id")
     topics = arts.where("topic is not null").groupBy(F.col("topic").alias("display_name")).agg(F.max("topic_score").alias("score"))
-    none = F.lit(None).cast("long")
     incoming_topics = topics.select("display_name", none.alias("subject_area_id"), none.alias("subject_category_id"), "score")
     filled = merge.fill_topics(tables["Topic"], incoming_topics)
     out["Topic"] = merge.get_or_create(filled, incoming_topics.select("display_name"), "topic_id", ["display_name"], hashed=True)
     ids = out["Topic"].select(F.col("display_name").alias("topic"), F.col("topic_id").alias("primary_topic"))
-    rows = arts.withColumn("issue_id", none).join(ids, "topic", "left")
-    resolved = merge.get_or_create_articles(tables["Article"], rows).withColumn("article_id", F.coalesce("article_id", F.xxhash64("title")))
+    if "Volume" in tables and "Issue" in tables:
+        out["Volume"], out["Issue"], arts = merge.volumes_and_issues(arts, tables["Volume"], tables["Issue"])
+    else:
+        arts = arts.withColumn("issue_id", none)
+    resolved = merge.resolve_works(tables["Article"], arts.join(ids, "topic", "left"))
     out["Article"] = merge.full_upsert(tables["Article"], resolved.withColumn("is_deleted", F.lit(False)).select(*tables["Article"].columns), ["article_id"])
-    titles = resolved.groupBy("title").agg(F.min("article_id").alias("article_id"))
+    articles = resolved.select("work_key", "article_id").distinct()
 
-    people = landed.authors_of(works).withColumn("row_id", F.xxhash64("openalex_id", "orcid", "display_name"))
+    person = lambda a: S.row_hash(S.id_tail(F.col(f"{a}.id")), S.orcid_url(F.col(f"{a}.orcid")), F.col(f"{a}.display_name"))
+    people = landed.authors_of(works).withColumn("row_id", S.row_hash("openalex_id", "orcid", "display_name"))
     known = resolve.resolve_authors(people, tables["Author"])
     assigned = people.join(known, "row_id").withColumn("author_id", F.coalesce("author_id", "row_id"))
     fresh = assigned.where("step is null").select("author_id", "orcid", "openalex_id", "display_name")
     out["Author"] = tables["Author"].unionByName(merge.latest(fresh, ["author_id"]), allowMissingColumns=True)
-    listed = works.select("title", F.explode("authorships.author").alias("a")).select("title", F.xxhash64(S.id_tail("a.id"), S.orcid_url("a.orcid"), F.col("a.display_name")).alias("row_id"))
-    links = listed.join(assigned.select("row_id", "author_id"), "row_id").join(titles, "title").select("author_id", "article_id")
+    listed = keyed.select("work_key", F.explode("authorships.author").alias("a")).select("work_key", person("a").alias("row_id"))
+    links = listed.join(assigned.select("row_id", "author_id"), "row_id").join(articles, "work_key").select("author_id", "article_id")
     out["Author_Article"] = merge.insert_if_absent(tables["Author_Article"], links, ["author_id", "article_id"])
 
-    words = works.select("title", F.explode("keywords").alias("k")).select("title", F.col("k.display_name").alias("display_name"), S.score_or_zero(F.col("k.score")).alias("score")).where("display_name is not null")
+    words = keyed.select("work_key", F.explode("keywords").alias("k")).select("work_key", F.col("k.display_name").alias("display_name"), S.score_or_zero(F.col("k.score")).alias("score")).where("display_name is not null")
     out["Keyword"] = merge.get_or_create(tables["Keyword"], words.select("display_name"), "keyword_id", ["display_name"], hashed=True)
-    tagged = words.join(out["Keyword"], "display_name").join(titles, "title").select("keyword_id", "article_id", "score")
+    tagged = words.join(out["Keyword"], "display_name").join(articles, "work_key").select("keyword_id", "article_id", "score")
     out["Keyword_Article"] = merge.insert_if_absent(tables["Keyword_Article"], tagged.select(*tables["Keyword_Article"].columns), ["keyword_id", "article_id"])
     return out
 
@@ -115,6 +126,13 @@ def priority_subset(tables: dict[str, DataFrame], n: int) -> dict[str, DataFrame
     return out
 
 
+def build_nodes(tables: dict[str, DataFrame], cap: int | None = None) -> dict[str, DataFrame]:
+    """Node tables by label, and the placeholder nodes of unknown references."""
+    out = graph.schema_nodes(tables, cap)
+    out["Reference"] = graph.placeholder_nodes(graph.citation_edges(graph.graph_references(tables["Article"]), tables["Article"]))
+    return out
+
+
 def build_graph(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Edge tables by type: the schema's links, citations, and the derived networks."""
     out = graph.schema_edges(tables)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,8 +82,12 @@ def map_ranking_columns(raw: DataFrame) -> DataFrame:
     return raw.select(*(F.col(f"`{known[w]}`").alias(w) if w in known else F.lit("").alias(w) for w in wanted))
 
 
+def has_source_and_title() -> Column:
+    return (F.trim("source_id") != "") & (F.trim("title") != "")
+
+
 def require_source_and_title(rows: DataFrame) -> DataFrame:
-    return rows.where((F.trim("source_id") != "") & (F.trim("title") != ""))
+    return rows.where(has_source_and_title())
 
 
 def read_countries(spark: SparkSession, path: str) -> DataFrame:
@@ -93,12 +98,14 @@ def read_countries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_works(spark: SparkSession, path: str) -> DataFrame:
-    """Works of landed result pages, with the file they came from; works without title are left out."""
-    return works_of(spark.read.schema(WORKS_PAGE).json(path, multiLine=True))
+    """Works of landed result pages with the file they came from and the page's next_cursor; works without title are left out."""
+    return works_of(spark.read.schema(WORKS_PAGE).json(path, multiLine=True).withColumns({"source_file": F.col("_metadata.file_path"), "next_cursor": F.col("meta.next_cursor")}))
 
 
 def works_of(pages: DataFrame) -> DataFrame:
-    return pages.select(F.explode("results").alias("w")).select("w.*").where("title is not null")
+    """Works of pages (results), with the pages' other columns but for their envelope."""
+    own = [c for c in pages.columns if c not in ("results", "meta")]
+    return pages.select(*own, F.explode("results").alias("w")).select("w.*", *own).where("title is not null")
 
 
 def read_page(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -135,6 +142,8 @@ def configured_scan(tables: dict[str, DataFrame], config: list[dict]) -> list[tu
     for c in config:
         name, df = by_name[c["table"].lower()]
         columns = c.get("columns") or df.columns
+        if unknown := [x for x in columns if x not in df.columns]:
+            warnings.warn(f"{name} has no columns {', '.join(unknown)}", stacklevel=2)
         valid = [x for x in columns if x in df.columns] or df.columns
         if c.get("where"):
             df = df.where(c["where"])

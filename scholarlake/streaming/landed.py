@@ -17,9 +17,10 @@ def works_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -
     return works_of(spark.readStream.schema(WORKS_PAGE).option("maxFilesPerTrigger", files_per_trigger).option("multiLine", True).json(path))
 
 
-def articles_of(works: DataFrame) -> DataFrame:
-    """Article rows of works."""
+def articles_of(works: DataFrame, *keep: str) -> DataFrame:
+    """Article rows of works, with the columns `keep` of the works."""
     return works.select(
+        *keep,
         F.substring("title", 1, 255).alias("title"),
         S.abstract_from_index("abstract_inverted_index").alias("abstract"),
         S.normalize_doi("doi").alias("doi"),
