@@ -91,7 +91,7 @@ def mark_scanned(authors: DataFrame, matched: DataFrame, now: Column) -> DataFra
     """Authors with created_at set for those that a run looked for and did not find, so that the next run skips them, and status."""
     seen = matched.select("author_id", "found")
     out = authors.join(seen, "author_id", "left")
-    status = F.when(F.col("found").isNull(), "NOT_TRIED").when("found", "SYNCED").otherwise("NOT_FOUND")
+    status = F.when(F.col("found").isNull(), "NOT_TRIED").when(F.col("found"), "SYNCED").otherwise("NOT_FOUND")
     return out.withColumn("created_at", F.when(~F.col("found"), now).otherwise(F.col("created_at"))).withColumn("status", status).select(*authors.columns, "status")
 
 

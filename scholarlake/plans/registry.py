@@ -307,7 +307,7 @@ def coverage_stats(t: Tables) -> DataFrame:
     return reports.coverage(t.orders, F.col("o_orderstatus") == "F")
 
 
-NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
+NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @query(" union all ".join(f"select '{n}' as table_name, count(*) as n from {n}" for n in NAMES))

@@ -63,11 +63,11 @@ def _encoding(spark: SparkSession, path: str) -> str:
 def read_ranking(spark: SparkSession, path: str) -> DataFrame:
     """All-string rows of a ;-separated ranking file. Over-long lines are dropped, short ones padded with ''."""
     encoding = _encoding(spark, path)
-    head = spark.read.csv(path, sep=";", header=True, encoding=encoding).columns
+    head = spark.read.csv(path, sep=";", header=True, encoding=encoding, escape='"').columns
     schema = StructType([StructField(c, StringType()) for c in head] + [StructField("_bad", StringType())])
     # a pruned parser would not see that a line is over-long
     reader = spark.read.option("columnPruning", False)
-    rows = reader.csv(path, sep=";", header=True, schema=schema, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", nullValue="\x00", emptyValue="", enforceSchema=True)
+    rows = reader.csv(path, sep=";", header=True, schema=schema, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", nullValue="\x00", emptyValue="", enforceSchema=True, escape='"')
     # a malformed line with more separators outside quotes than the header has is over-long
     fields = F.size(F.split(F.regexp_replace(F.col("_bad"), '"[^"]*"', ""), ";"))
     kept = rows.where(F.col("_bad").isNull() | (fields <= len(head)))

@@ -91,3 +91,32 @@ def test_works_sync_is_idempotent(spark):
     assert counts == {"Topic": 1, "Article": 2, "Author": 2, "Author_Article": 3, "Keyword": 1, "Keyword_Article": 1}
     stored = {n: spark.createDataFrame(df.collect(), df.schema) for n, df in once.items()}
     assert {n: df.count() for n, df in pipelines.sync_works(readers.works_of(pages), stored).items()} == counts
+
+
+def test_works_of_one_title_stay_apart_by_doi_and_issue(spark):
+    from scholarlake.plans.flow_queries import SYNC_TABLES
+
+    def work(title, doi, volume, issue, author):
+        biblio = f'"biblio":{{"volume":"{volume}","issue":"{issue}"}}' if volume else '"biblio":{}'
+        return f'{{"title":"{title}","doi":{doi},"publication_year":2020,{biblio},"authorships":[{{"author":{{"id":"https://o/{author}","display_name":"{author}"}}}}],"keywords":[]}}'
+
+    rows = [work("Editorial", '"10.1/a"', 1, 1, "A1"), work("Editorial", '"10.1/b"', 9, 1, "A2"), work("Editorial", "null", 1, 2, "A3"), work("Editorial", "null", 1, 3, "A4"), work("Editorial", '"https://doi.org/10.1/A"', 1, 1, "A5")]
+    page = '{"results":[' + ",".join(rows) + "]}"
+    pages = spark.createDataFrame([(page, 7)], "j string, journal_id long").selectExpr(f"from_json(j, '{readers.WORKS_PAGE}') as p", "journal_id").select("p.results", "journal_id")
+    t = empty(spark, **SYNC_TABLES)
+    t["Volume"] = spark.createDataFrame([(3, 7, 1, 2020, True)], SYNC_TABLES["Volume"])
+    out = pipelines.sync_works(readers.works_of(pages), t)
+    counts = {n: df.count() for n, df in out.items()}
+    assert (counts["Article"], counts["Volume"], counts["Issue"], counts["Author_Article"]) == (4, 2, 4, 5)
+    assert out["Volume"].where("volume_id = 3 and not is_deleted").count() == 1 and out["Issue"].where("volume_id = 3").count() == 3
+    stored = {n: spark.createDataFrame(df.collect(), df.schema) for n, df in out.items()}
+    assert {n: df.count() for n, df in pipelines.sync_works(readers.works_of(pages), stored).items()} == counts
+
+
+def test_import_keeps_known_values_and_takes_a_limit(spark):
+    current = spark.createDataFrame([(1, "old", "FR", True), (2, "two", None, False)], "id long, name string, country string, is_deleted boolean")
+    incoming = spark.createDataFrame([(1, "new", None, False), (3, "three", "VN", False)], current.schema)
+    from scholarlake.operators import merge
+
+    got = sorted(tuple(r) for r in merge.update_known(current, incoming, ["id"]).collect())
+    assert got == [(1, "new", "FR", False), (2, "two", None, False), (3, "three", "VN", False)]
