@@ -63,10 +63,11 @@ def render_conversations(conversations: DataFrame) -> DataFrame:
 
 ORACLE = """
 with t as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
-c as (select conv_id, list({'r': role, 't': text} order by turn nulls first, role nulls first, text nulls first) as l,
+c as (select conv_id, list({'r': role, 't': text} order by turn nulls first, role nulls first, text nulls first) as l from t group by conv_id),
+d as (select l, min(conv_id) as conv_id, count(*) as n_copies from c group by l),
+p as (select distinct l[1:n] as l from (select l, unnest(range(1, len(l))) as n from d)),
+k as (select conv_id, cast(len(d.l) as bigint) as n_turns, n_copies from d anti join p on d.l = p.l)
+select conv_id, cast(floor(coalesce(turn, -1) / 512.0) as bigint) as part, n_turns, n_copies,
   string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by turn nulls first, role nulls first, text nulls first) as rendered
-  from t group by conv_id),
-d as (select l, min(conv_id) as conv_id, count(*) as n_copies, any_value(rendered) as rendered from c group by l),
-p as (select distinct l[1:n] as l from (select l, unnest(range(1, len(l))) as n from d))
-select conv_id, cast(0 as bigint) as part, cast(len(d.l) as bigint) as n_turns, n_copies, rendered from d anti join p on d.l = p.l
+from k join t using (conv_id) group by conv_id, part, n_turns, n_copies
 """
