@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, ascii_lower, free_name, mix, row_key, shuffles, stored, text_chunks, word_spans
+from .common import ROW, ascii_lower, dealt_join, free_name, mix, row_key, shuffles, stored, text_chunks, word_spans
 
 REGISTERS, BAND, BASE, SCALE, LIMIT = 128, 4, 1.02, 20.0, 65_534
 #: Five standard errors of the estimate near 0.85.
@@ -159,7 +159,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
                 ok = (est >= threshold - MARGIN) & (np.minimum(*n) >= threshold * np.maximum(*n) - 1e-9)
                 yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long")
+    # b first: it may be the smallest of a very large bucket
+    return dealt_join(pairs, side("b"), ["b"], ["a"]).join(side("a"), "a").mapInArrow(run, "a long, b long")
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int, repeats: bool) -> DataFrame:
@@ -191,7 +192,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(z) - both))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    # b first, while the rows are narrow: it may have very many partners
+    return dealt_join(pairs, side("b"), ["b"], ["a"]).join(side("a"), "a").mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -201,11 +203,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")))
+    degrees = stored(both.groupBy("b").agg(F.count("*").alias("k")))
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
-        low = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("c"))
+        near = dealt_join(both, labels.withColumnRenamed("node", "b"), ["b"], ["a"], degrees).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
+        low = stored(labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("c")))
         up = labels.select(F.col("node").alias("c"), F.col("component").alias("cc"))
-        new = stored(low.join(up, "c").select("node", "old", F.least("c", "cc").alias("component")))
+        new = stored(dealt_join(low, up, ["c"], ["node"]).select("node", "old", F.least("c", "cc").alias("component")))
         if not new.where("old <> component").limit(1).count():
             return new.select("node", "component")
         labels = new.select("node", "component")
@@ -284,8 +287,9 @@ def _cells(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame
     Pairs with the bucket's smallest node b have been tried before, so b itself stays out.
     """
     own = members.where("node <> b").select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
-    rows = own.join(mixed.select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks")), "key").join(nodes.select("node", "n", "sketch"), "node")
+    buckets = stored(own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k")))
+    mixed = buckets.where("lo < hi").select("key", F.ceil(F.col("k") / BLOCK_ROWS).cast("int").alias("blocks"))
+    rows = dealt_join(own, mixed, ["key"], ["node"], buckets.select("key", "k")).join(nodes.select("node", "n", "sketch"), "node")
     # block i meets block j in cell (i, j); a row goes to every cell of its block
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n", "sketch")
@@ -339,12 +343,12 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     sketched = stored(_sketches(docs, words))
     repeats = bool(sketched.groupBy("row").count().where("count > 1").limit(1).count())
     usable = sketched.where("n > 0 and doc_id is not null")
-    classes = stored(usable.groupBy("g1", "g2").agg(F.min(F.struct("doc_id", "row")).alias("at"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).select("g1", "g2", F.col("at.doc_id").alias("node"), F.col("at.row").alias("row"), "n", "sketch"))
+    classes = stored(usable.groupBy("g1", "g2").agg(F.min(F.struct("doc_id", "row")).alias("at"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("k")).select("g1", "g2", "k", F.col("at.doc_id").alias("node"), F.col("at.row").alias("row"), "n", "sketch"))
     nodes = classes.select("node", "n", "sketch")
     keys = _band_keys(nodes)
-    shared = keys.groupBy("key").agg(F.count("*").alias("k"), F.min("node").alias("b")).where("k > 1")
-    members = stored(keys.join(shared.select("key", "b"), "key"))
-    likely = stored(_likely(members.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), nodes, threshold))
+    shared = stored(keys.groupBy("key").agg(F.count("*").alias("k"), F.min("node").alias("b")).where("k > 1"))
+    members = stored(dealt_join(keys, shared.select("key", "b"), ["key"], ["node"], shared.select("key", "k")))
+    likely = stored(_likely(stored(members.where("node <> b").select(F.col("node").alias("a"), "b").distinct()), nodes, threshold))
     sets = stored(_full_sets(docs, classes, likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct(), words, repeats))
     links = stored(_confirm(likely, sets, percent))
     labels = components(links)
@@ -357,8 +361,11 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         found = stored(_links_in_cells(cells, _short_hashes(sets), threshold, percent))
         labels = components(links.unionByName(stored(_confirm(found, sets, percent))))
     groups = classes.select("g1", "g2", "node").join(labels, "node", "left").select("g1", "g2", F.coalesce("component", "node").alias("c"))
-    out = sketched.select("row", "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("g1")).alias("g1"), "g2")
-    return out.join(groups, ["g1", "g2"], "left").select("doc_id", "row", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("c", "doc_id"), F.lit(True)).alias("kept"))
+    found = dealt_join(usable, groups, ["g1", "g2"], ["row"], classes.select("g1", "g2", "k"))
+    # rows that link with nothing share a signature (empty sets) or have no doc_id; they need no join
+    alone = sketched.where("n = 0 or doc_id is null").withColumn("c", F.col("doc_id"))
+    out = found.select("doc_id", "row", "n", "c").unionByName(alone.select("doc_id", "row", "n", "c"))
+    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), F.col("c").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("c"), F.lit(True)).alias("kept"))
 
 
 def keep_one(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
