@@ -71,14 +71,14 @@ def shuffles(spark: SparkSession) -> int:
 def dealt_join(rows: DataFrame, other: DataFrame, on: list[str], spread: list[str], counts: DataFrame | None = None, how: str = "inner") -> DataFrame:
     """rows joined to other, with the rows of hot keys dealt to several parts by a hash of their `spread` columns.
 
-    A key is hot if it has more than one of 4 * shuffle partitions equal shares of all rows. So fewer keys than that are
-    hot, which bounds the broadcast; `other` is copied once a part, and no part has more than a share. `counts` holds
-    each key's number of rows `k`; without it stored `rows` are counted.
+    All rows make 4 * shuffle partitions equal shares. At most that many keys have more than one share, so only that many
+    of the most frequent keys are broadcast, with a part for each share they have; `other` is copied once a part.
+    `counts` holds each key's number of rows `k`; without it stored `rows` are counted.
     """
     shares = 4 * shuffles(rows.sparkSession)
     counts = rows.groupBy(*on).agg(F.count("*").alias("k")) if counts is None else counts
     total = counts.agg(F.sum("k")).first()[0] or 1
-    hot = F.broadcast(counts.where(F.col("k") > total / shares).select(*on, F.ceil(F.col("k") * shares / total).cast("int").alias("_parts")))
+    hot = F.broadcast(counts.orderBy(F.desc("k"), *on).limit(shares).select(*on, F.ceil(F.col("k") * shares / total).cast("int").alias("_parts")))
     left = rows.join(hot, on, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
     right = other.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
     return left.join(right, [*on, "_part"], how).drop("_part")

@@ -7,7 +7,7 @@ over the corpus would be one task. So the corpus is dealt out by content first:
    inside it as its anchor. Equal windows have equal anchors. Neighbouring windows with one anchor
    form a segment: (anchor, content hash, place, number of windows).
 2. Anchors seen once are dropped by a partially aggregated count. Segments whose whole content is
-   repeated are covered as they are.
+   repeated are covered as they are. Rows of hot anchors and contents are dealt to several parts (common.dealt_join).
 3. What is left - segments that share an anchor but not their content, i.e. the edges of repeats - is
    grouped by anchor, one copy of each content. Each bounded bucket gets a run-compressed BWT whose run
    ends are sampled with their positions and longest common extensions; matching statistics are
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, mix, powers, prefix_sums, row_key, shuffles, signed, stored, text_chunks
+from .common import ROW, dealt_join, mix, powers, prefix_sums, row_key, shuffles, signed, stored, text_chunks
 
 GRAM = 32
 #: Low bits of a packed anchor that hold its place in the buffer.
@@ -235,32 +235,47 @@ def _edge_runs(snippets: DataFrame, length: int) -> DataFrame:
     return snippets.repartition(shuffles(snippets.sparkSession), "h").sortWithinPartitions("h").mapInArrow(run, f"row {ROW}, q0 long, q1 long")
 
 
+def _window_hashes(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of every window of `length` bytes: a rolling hash of its bytes and one of its mixed grams."""
+    n = len(buf) - length + 1
+    inv = powers(len(buf) + 1)[1]
+    sums = prefix_sums(buf)
+    grams = mix((sums[GRAM:] - sums[:-GRAM]) * inv[: len(buf) - GRAM + 1])
+    of_bytes = mix((sums[length:] - sums[:-length]) * inv[:n])
+    wide, span = prefix_sums(grams), length - GRAM + 1
+    return of_bytes, mix((wide[span:] - wide[:-span]) * inv[:n])
+
+
 def _hot_runs(snippets: DataFrame, length: int) -> DataFrame:
     """The same marks for anchors with very many contents: windows are counted one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n, row, p0, s in zip(*(batch.column(x).to_pylist() for x in ("n", "row", "p0", "snippet"))):
-                d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s[i : i + length]) for i in range(len(s) - length + 1)), np.int64).reshape(-1, 2)
-                k = len(d)
-                yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(np.full(k, n)), pa.array([row] * k, _ROW), pa.array(np.arange(p0, p0 + k))], names=["w1", "w2", "n", "row", "p"])
+                w1, w2 = _window_hashes(np.frombuffer(s, np.uint8), length)
+                k = len(w1)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(w1)), pa.array(signed(w2)), pa.array(np.full(k, n)), pa.array([row] * k, _ROW), pa.array(np.arange(p0, p0 + k))], names=["w1", "w2", "n", "row", "p"])
 
     windows = snippets.mapInArrow(run, f"w1 long, w2 long, n long, row {ROW}, p long")
-    twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("k")).where("k > 1")
-    return windows.where("n = 1").join(twice, ["w1", "w2"]).select("row", F.col("p").alias("q0"), F.col("p").alias("q1"))
+    twice = stored(windows.groupBy("w1", "w2").agg(F.count("*").alias("k")).where("k > 1"))
+    return dealt_join(windows.where("n = 1"), twice.drop("k"), ["w1", "w2"], ["row", "p"], twice).select("row", F.col("p").alias("q0"), F.col("p").alias("q1"))
 
 
 def covered_windows(docs: DataFrame, length: int = 200) -> DataFrame:
     """(row, q0, q1): runs of window starts of `docs` (row, text) that also start elsewhere."""
-    segs = segments(docs, length)
-    again = segs.groupBy("h").agg(F.count("*").alias("k"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("k > 1")
-    shared = stored(segs.join(again.select("h", (F.col("c0") != F.col("c1")).alias("mixed")), "h"))
-    contents = stored(shared.groupBy("h", "c", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("row", "p0", "nw")).alias("at")))
-    whole = shared.join(contents.where("n > 1").select("h", "c"), ["h", "c"]).select("row", F.col("p0").alias("q0"), (F.col("p0") + F.col("nw") - 1).alias("q1"))
-
-    edges = contents.where("mixed")
-    hot = edges.groupBy("h").count().where(F.col("count") > HOT_CONTENTS).select("h", F.lit(True).alias("hot"))
-    edges = edges.join(hot, "h", "left").groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct("h", "n", "at.p0", "at.nw", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("cuts"))
+    segs = stored(segments(docs, length))
+    again = stored(segs.groupBy("h").agg(F.count("*").alias("k"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("k > 1").select("h", "k", (F.col("c0") != F.col("c1")).alias("mixed")))
+    shared = stored(dealt_join(segs, again.drop("k"), ["h"], ["row", "p0"], again.select("h", "k")))
+    run_of = ("row", F.col("p0").alias("q0"), (F.col("p0") + F.col("nw") - 1).alias("q1"))
+    mixed = shared.where("mixed").drop("mixed")
+    contents = stored(mixed.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("row", "p0", "nw")).alias("at")))
+    repeated = contents.where("n > 1")
+    # an anchor of one content needs no count of its contents
+    whole = shared.where("not mixed").select(*run_of).unionByName(dealt_join(mixed, repeated.select("h", "c"), ["h", "c"], ["row", "p0"], repeated.select("h", "c", F.col("n").alias("k"))).select(*run_of))
+
+    hot = stored(contents.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") > HOT_CONTENTS))
+    dealt = dealt_join(contents, hot.select("h", F.lit(True).alias("hot")), ["h"], ["c"], hot, "left")
+    edges = dealt.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct("h", "n", "at.p0", "at.nw", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("cuts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
