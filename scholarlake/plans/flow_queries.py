@@ -498,3 +498,15 @@ def followed_candidates(t: Tables) -> DataFrame:
     t.part.select(k.cast("string").alias("url"), F.when(k % 2 == 0, F.lit("1234-5678 ; 8765-4321")).otherwise(F.lit("1234-5678;")).alias("issn")).write.csv(path, header=True)
     rows = readers.read_issn_candidates(spark, path)
     return readers.follow_links(rows, t.part.where(k % 3 != 0).select(k.cast("string").alias("link"))).select(F.col("url").cast("long").alias("p_partkey"), F.size("issn").cast("int").alias("issns"))
+
+
+@query("select c_custkey, c_mktsegment from customer where c_acctbal > 0")
+def configured_scan_all(t: Tables) -> DataFrame:
+    """A scan without a limit returns all rows."""
+    return readers.configured_scan({"customer": t.customer}, [{"table": "CUSTOMER", "columns": ["c_custkey", "c_mktsegment"], "where": "c_acctbal > 0", "limit": 0}])[0][1]
+
+
+@query("select c_custkey, upper(n_name[1:2]) as code, upper(n_name[1:3]) as iso_code from customer join nation on c_nationkey = n_nationkey")
+def customer_zone_codes(t: Tables) -> DataFrame:
+    codes = S.zone_codes("n_name", F.lit("COUNTRY"))
+    return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", codes[0].alias("code"), codes[1].alias("iso_code"))
