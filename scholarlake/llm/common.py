@@ -9,6 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -68,17 +70,27 @@ def shuffles(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hot_keys(counts: DataFrame, on: list[str], shares: int) -> DataFrame:
+    """(key, _parts) of the keys with more than one of `shares` equal shares of all rows, which are fewer than `shares`.
+
+    The most frequent key is always there, hot or not, so that joins to this table have one plan at every size.
+    """
+    total, top = counts.agg(F.sum("k"), F.max_by(F.struct(*on), "k")).first()
+    if top is None:
+        return counts.select(*on, F.lit(1).alias("_parts")).limit(0)
+    is_top = reduce(and_, (F.col(c).eqNullSafe(F.lit(top[c])) for c in on))
+    return counts.where((F.col("k") * shares > total) | is_top).select(*on, F.ceil(F.col("k") * shares / total).cast("int").alias("_parts"))
+
+
 def dealt_join(rows: DataFrame, other: DataFrame, on: list[str], spread: list[str], counts: DataFrame | None = None, how: str = "inner") -> DataFrame:
     """rows joined to other, with the rows of hot keys dealt to several parts by a hash of their `spread` columns.
 
-    All rows make 4 * shuffle partitions equal shares. At most that many keys have more than one share, so only that many
-    of the most frequent keys are broadcast, with a part for each share they have; `other` is copied once a part.
-    `counts` holds each key's number of rows `k`; without it stored `rows` are counted.
+    A hot key has a part for each of 4 * shuffle partitions equal shares that its rows fill; `other` is copied once a part.
+    The hot keys are fewer than the shares, which bounds the broadcast without a sort of all keys. `counts` holds
+    each key's number of rows `k`; without it stored `rows` are counted.
     """
-    shares = 4 * shuffles(rows.sparkSession)
     counts = rows.groupBy(*on).agg(F.count("*").alias("k")) if counts is None else counts
-    total = counts.agg(F.sum("k")).first()[0] or 1
-    hot = F.broadcast(counts.orderBy(F.desc("k"), *on).limit(shares).select(*on, F.ceil(F.col("k") * shares / total).cast("int").alias("_parts")))
+    hot = F.broadcast(hot_keys(counts, on, 4 * shuffles(rows.sparkSession)))
     left = rows.join(hot, on, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
     right = other.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
     return left.join(right, [*on, "_part"], how).drop("_part")

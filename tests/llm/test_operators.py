@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from scholarlake.llm import chat, decontamination, line_dedup, near_dedup, nearest, pieces, quality, sharding, substring_dedup, token_output
+from scholarlake.llm import chat, common, decontamination, line_dedup, near_dedup, nearest, pieces, quality, sharding, substring_dedup, token_output
 from scholarlake.llm.queries import tokenizer_path
 
 from .fixtures import awkward_texts, documents, prose
@@ -546,6 +546,21 @@ def test_wide_vectors_stay_inside_their_bounds(spark):
 # empty tables and repeated rows
 
 
+def test_dealt_join_equals_plain_join_and_broadcasts_few_keys(spark):
+    rows = spark.range(6000).selectExpr("case when id % 3 = 0 then 7 when id % 3 = 1 then id else null end as key", "id as x")
+    other = spark.createDataFrame([(7, "hot"), (1, "one"), (4, "four"), (5, "none"), (None, "null")], "key long, y string")
+    for how in ("inner", "left"):
+        found = common.dealt_join(rows, other, ["key"], ["x"], how=how)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, rows.join(other, "key", how).collect()), key=str)
+    shares = 4 * common.shuffles(spark)
+    hot, total = common.hot_keys(rows.groupBy("key").count().withColumnRenamed("count", "k"), ["key"], shares), 6000
+    assert {(r["key"], r["_parts"]) for r in hot.collect()} == {(None, -(-2000 * shares // total)), (7, -(-2000 * shares // total))}
+    even = spark.range(500).selectExpr("id as key", "1L as k")
+    assert common.hot_keys(even, ["key"], shares).count() == 1  # always one, and it has one part
+    assert common.hot_keys(even.limit(0), ["key"], shares).count() == 0
+    assert common.dealt_join(rows.limit(0), other, ["key"], ["x"]).count() == 0
+
+
 def test_empty_tables(spark):
     docs = documents(spark, ["a"]).limit(0)
     items = spark.createDataFrame([], "item_id long, text string")
