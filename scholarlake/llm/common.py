@@ -130,6 +130,22 @@ def text_chunks(texts: pa.Array, tail: bytes = b"", limit: int = CHUNK_BYTES) ->
         lo = hi
 
 
+def cut_ranges(buf: np.ndarray, ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about `limit` bytes that end behind bytes where `ends` (by byte value) holds; longer where there is none."""
+    at = 0
+    while at < len(buf):
+        stop = min(len(buf), at + limit)
+        while stop < len(buf):
+            low = max(at, stop - limit)
+            found = np.flatnonzero(ends[buf[low:stop]])
+            if len(found):
+                stop = low + int(found[-1]) + 1
+                break
+            stop = min(len(buf), stop + limit)
+        yield at, stop
+        at = stop
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """M^i and M^-i modulo 2^64 for i < n."""
     global _POWERS

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, collocations, decontamination, fingerprints, line_dedup, near_dedup, nearest, pieces, quality, sharding, substring_dedup, token_output
+from . import chat, collocations, decontamination, fingerprints, line_dedup, near_dedup, nearest, pieces, quality, sharding, substring_dedup, token_output, variants
 from .common import table
 
 
@@ -58,9 +58,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), words=3, least=10, covered=50, top=2000)
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), shortest=5, least=3, every=97)
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_successors(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_output, op3_decontamination, op4_chat, op5_pieces, op6_near_dedup, op7_line_dedup, op8_sharding, op9_quality, op10_nearest, op11_collocations, op13_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_output, op3_decontamination, op4_chat, op5_pieces, op6_near_dedup, op7_line_dedup, op8_sharding, op9_quality, op10_nearest, op11_collocations, op12_variants, op13_fingerprints)}
 ORACLES = {"op3_decontamination": decontamination.ORACLE, "op4_chat": chat.ORACLE, "op6_near_dedup": near_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op10_nearest": nearest.ORACLE, "op11_collocations": collocations.ORACLE}
