@@ -8,8 +8,8 @@ a longer one mostly accounts for are dropped; the best of each language remain.
 
 What counting costs is the shuffle of the windows, mostly words spelled three times. A bounded look at some documents gives two
 things, neither of which changes any result: frequent words, which stand as codes of three bytes that no word can be, and the pairs
-of words that begin so many windows that their windows are dealt to parts. Others meet by their first two words, which makes
-the second shuffle one of distinct pairs.
+of words that begin so many windows that their windows are dealt to parts. Others meet by their first two words, so that rare
+pairs are known before the second shuffle and go on as single words.
 
 Joins with a frequent word's phrases deal the rows of hot keys to parts too (common.dealt_join); a language's ranking takes the
 best of each of BUCKETS buckets first, so that it never meets in one task what every partition holds.
@@ -32,10 +32,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, dealt_join, hot_keys, shuffles, stored, text_chunks
+from .common import ascii_lower, cut_ranges, dealt_join, hot_keys, shuffles, stored, text_chunks
 
 #: Bytes of text whose windows are counted together in a task.
-COMBINE_BYTES = 16 << 20
+COMBINE_BYTES = 8 << 20
 #: Bounds of the look at some documents: rows, characters of each, words of the code book.
 LOOK_ROWS, LOOK_CHARS, CODED_WORDS = 2_000, 20_000, 50_000
 BUCKETS = 32
@@ -75,21 +75,6 @@ def code_book(sample: DataFrame) -> list[bytes]:
     return [w for w, n in found.most_common(CODED_WORDS) if n > 1]
 
 
-def _cut_at_pieces(buf: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of about `limit` bytes that end where pieces end."""
-    at = 0
-    while at < len(buf):
-        stop = min(len(buf), at + limit)
-        while stop < len(buf):
-            ends = np.flatnonzero(_ENDS[buf[max(at, stop - limit) : stop]])
-            if len(ends):
-                stop = max(at, stop - limit) + int(ends[-1]) + 1
-                break
-            stop = min(len(buf), stop + limit)
-        yield at, stop
-        at = stop
-
-
 def counted_windows(documents: DataFrame, words: int, book: list[bytes]) -> DataFrame:
     """lang, w1 .. w<words>, f: each word with those after it in its piece, null where the piece has ended, counted in blocks of text.
 
@@ -104,7 +89,7 @@ def counted_windows(documents: DataFrame, words: int, book: list[bytes]) -> Data
             return
         found = found.dictionary_encode()
         ids, base = found.indices.to_numpy().astype(np.int64), len(found.dictionary) + 1
-        piece = np.cumsum(_ENDS[buf])[starts]
+        piece = np.searchsorted(np.flatnonzero(_ENDS[buf]), starts)
         lang = lang_ids[np.searchsorted(offs, starts, "right") - 1].astype(np.int64)
         # lead columns; 0 is padding
         columns = [ids + 1]
@@ -132,7 +117,7 @@ def counted_windows(documents: DataFrame, words: int, book: list[bytes]) -> Data
             langs = pc.fill_null(batch.column("lang"), "und").dictionary_encode()
             lang_ids = langs.indices.to_numpy()
             for lo, hi, buf, offs in text_chunks(batch.column("text"), b"\n", COMBINE_BYTES):
-                for start, stop in _cut_at_pieces(buf, COMBINE_BYTES):
+                for start, stop in cut_ranges(buf, _ENDS, COMBINE_BYTES):
                     yield from count(buf[start:stop], offs - start, lang_ids[lo:hi], langs.dictionary.cast(pa.string()), known, codes)
 
     kinds = "".join(f"{n} string, " for n in names)
@@ -148,15 +133,22 @@ def phrase_counts(documents: DataFrame, words: int, least: int) -> tuple[DataFra
     pair = ["lang", *names[:2]]
     seen = stored(counted_windows(sample, 2, book).groupBy(*pair).agg(F.sum("f").alias("k")))
     hot = F.broadcast(hot_keys(seen, pair, 4 * shuffles(documents.sparkSession)))
-    dealt = counted_windows(documents, words, book).join(hot, pair, "left").withColumn("part", F.pmod(F.xxhash64(*(names[2:] or pair)), F.coalesce("_parts", F.lit(1))))
-    counted = dealt.repartition(*pair, "part").groupBy(*pair, "part", *names[2:]).agg(F.sum("f").alias("f"))
-    # rare longest windows need no row of their own: they go on as their prefixes
-    named = counted.withColumn(names[-1], F.when(F.col("f") >= least, F.col(names[-1])))
-    levels = named.rollup("lang", *names).agg(F.sum("f").alias("f"), F.grouping_id().alias("_g"))
-    size = (F.lit(words) - F.bit_count("_g")).cast("int")
-    # a null that is not rolled up is padding, or a rare window's last word
-    padded = reduce(or_, (F.col(w).isNull() & (size > i) for i, w in enumerate(names)))
-    kept = levels.where(F.col("lang").isNotNull() & ~padded & ((size == 0) | (F.col("f") >= least))).select("lang", size.alias("size"), *names, "f")
+    part = F.coalesce(F.pmod(F.xxhash64(*(names[2:] or pair)), F.col("_parts")) + 1, F.lit(0)).cast("int")
+    dealt = counted_windows(documents, words, book).join(hot, pair, "left").withColumn("part", part).drop("_parts").repartition(*pair, "part")
+    # both sums need every column of the windows, so that they read one shuffle
+    last = names[-1]
+    longest = dealt.groupBy("part", "lang", *names).agg(F.sum("f").alias("f"), F.max(last).alias("_last")).where((F.col("f") >= least) & F.col("_last").isNotNull())
+    prefixes = dealt.groupBy("part", "lang", *names[:-1]).agg(F.sum("f").alias("f"), F.count(last).alias("_n")).where("_n >= 0")
+    if words > 2:
+        # a rare prefix that is summed here needs no row of its own: it goes on as a shorter one
+        rare = (F.col("f") < least) & (F.col("part") == 0)
+        prefixes = prefixes.withColumn(names[-2], F.when(~rare, F.col(names[-2])))
+    levels = prefixes.rollup("lang", *names[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("_g"))
+    size = (F.lit(words - 1) - F.bit_count("_g")).cast("int")
+    # a null that is not rolled up is padding, or a rare prefix's last word
+    padded = reduce(or_, (F.col(w).isNull() & (size > i) for i, w in enumerate(names[:-1])))
+    shorter = levels.where(F.col("lang").isNotNull() & ~padded & ((size == 0) | (F.col("f") >= least)))
+    kept = shorter.select("lang", size.alias("size"), *names[:-1], F.lit(None).cast("string").alias(last), "f").unionByName(longest.select("lang", F.lit(words).alias("size"), *names, "f"))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = {_code(i).decode(): w.decode(errors="replace") for i, w in enumerate(book)}
