@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarlake.functions import scalars as S
+from scholarlake.operators.numbering import dense_numbers
 
 
 def common_columns(source: DataFrame, target: DataFrame) -> list[str]:
@@ -100,14 +101,14 @@ def conditional_upsert(current: DataFrame, incoming: DataFrame, keys: list[str],
 def get_or_create(current: DataFrame, names: DataFrame, id_column: str, key: list[str], hashed: bool = False) -> DataFrame:
     """The dimension with an id for every natural key; new ids follow the largest in key order.
 
-    Numbering is one task over the new keys alone and suits small dimensions; `hashed` gives
-    xxhash64 ids for large ones.
+    Numbering sorts the new keys in ranges and numbers each behind the counts of those before it; `hashed` gives
+    xxhash64 ids, which need no order.
     """
     new = names.select(*key).distinct().dropna(subset=key).join(current.select(*key), key, "left_anti")
     if hashed:
         return current.unionByName(new.withColumn(id_column, F.xxhash64(*key)), allowMissingColumns=True)
     top = current.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
-    numbered = new.withColumn("_n", F.row_number().over(Window.orderBy(*key))).join(F.broadcast(top))
+    numbered = dense_numbers(new, key, "_n").join(F.broadcast(top))
     return current.unionByName(numbered.withColumn(id_column, (F.col("_top") + F.col("_n")).cast(current.schema[id_column].dataType)).drop("_top", "_n"), allowMissingColumns=True)
 
 

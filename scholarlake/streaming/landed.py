@@ -1,4 +1,4 @@
-"""Stream of landed works pages into table snapshots."""
+"""Stream of landed works pages into table snapshots or versioned tables."""
 
 from __future__ import annotations
 
@@ -10,11 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from scholarlake.functions import scalars as S
 from scholarlake.sources.readers import WORKS_PAGE, works_of
+from scholarlake.sources.versioned import VersionedTables
 
 
-def works_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
-    """Works of pages as they land; the checkpoint remembers which files were read."""
-    return works_of(spark.readStream.schema(WORKS_PAGE).option("maxFilesPerTrigger", files_per_trigger).option("multiLine", True).json(path))
+def works_stream(spark: SparkSession, path: str, files_per_trigger: int = 100, multi_line: bool = True) -> DataFrame:
+    """Works of pages as they land, one a file or, without `multi_line`, one a line; the checkpoint remembers which files were read."""
+    return works_of(spark.readStream.schema(WORKS_PAGE).option("maxFilesPerTrigger", files_per_trigger).option("multiLine", multi_line).json(path))
 
 
 def articles_of(works: DataFrame, *keep: str) -> DataFrame:
@@ -53,3 +54,24 @@ def snapshot_writer(path: str, transform: Callable[[DataFrame], DataFrame]) -> C
         transform(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return apply
+
+
+def merge_writer(store: VersionedTables, writer: str, merge: Callable[[DataFrame, dict[str, DataFrame]], dict[str, DataFrame]]) -> Callable[[DataFrame, int], None]:
+    """A batch function that merges batch N into the newest version and commits the tables that the merge returns as the next.
+
+    A batch that comes again after its commit changes nothing; one that broke before it is merged anew into the same version.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        done = store.writer(writer)
+        if done is not None and done["sequence"] >= batch_id:
+            return
+        batch = batch.persist()
+        try:
+            tables = store.read()
+            merged = merge(batch, tables)
+            store.commit({n: df for n, df in merged.items() if df is not tables.get(n)}, writer, batch_id)
+        finally:
+            batch.unpersist()
+
+    return apply
