@@ -137,7 +137,7 @@ def phrase_counts(documents: DataFrame, words: int, least: int) -> tuple[DataFra
     dealt = counted_windows(documents, words, book).join(hot, pair, "left").withColumn("part", part).drop("_parts").repartition(*pair, "part")
     # both sums need every column of the windows, so that they read one shuffle
     last = names[-1]
-    longest = dealt.groupBy("part", "lang", *names).agg(F.sum("f").alias("f"), F.max(last).alias("_last")).where((F.col("f") >= least) & F.col("_last").isNotNull())
+    longest = dealt.groupBy("part", "lang", *names).agg(F.sum("f").alias("f"), F.count(last).alias("_n")).where((F.col("f") >= least) & (F.col("_n") > 0))
     prefixes = dealt.groupBy("part", "lang", *names[:-1]).agg(F.sum("f").alias("f"), F.count(last).alias("_n")).where("_n >= 0")
     if words > 2:
         # a rare prefix that is summed here needs no row of its own: it goes on as a shorter one
