@@ -315,7 +315,8 @@ def dedup_substrings(documents: DataFrame, length: int = 200) -> DataFrame:
     See the module text for the method and the defined results.
     """
     docs = documents.select("doc_id", row_key().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    runs = covered_windows(docs.select("row", "text"), length).groupBy("row").agg(F.collect_list(F.struct("q0", "q1")).alias("runs"))
+    # copies of a row share its key and bring the same runs, which are gathered once
+    runs = covered_windows(docs.select("row", "text"), length).groupBy("row").agg(F.collect_set(F.struct("q0", "q1")).alias("runs"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

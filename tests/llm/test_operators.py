@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -53,6 +54,16 @@ def test_substring_edges_equal_brute_force_on_random_copies(spark, monkeypatch):
         assert got == want
 
 
+def test_many_equal_rows_cost_no_more_than_their_number(spark):
+    """Copies of a row share its key; their runs are gathered once, not once for each copy."""
+    text = prose(random.Random(11), 700)[:4000]
+    df = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text")).repartition(4)
+    began = time.monotonic()
+    got = substring_dedup.digest(substring_dedup.dedup_substrings(df, 200)).distinct().collect()
+    assert [(r["doc_id"], r["n_removed"], r["n_spans"]) for r in got] == [(7, len(text.encode()), 1)]
+    assert time.monotonic() - began < 90  # 98 s for 800 rows while the runs of all copies were gathered
+
+
 def test_long_text_in_pieces(spark):
     rng = random.Random(1)
     part = "".join(rng.choice("abcdefgh ") for _ in range(700_000))
