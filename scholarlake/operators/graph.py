@@ -120,6 +120,39 @@ def cooccurrence(links: DataFrame, group: str, member: str, count: str = "n", bl
     return pairs.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias(count))
 
 
+def _members(links: DataFrame, group: str, member: str) -> DataFrame:
+    return links.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(F.col(group).alias("g"), F.col(member).alias("m")).distinct()
+
+
+def _pairs_with(some: DataFrame, whole: DataFrame, block: int) -> DataFrame:
+    """a, b, k: in how many groups two members (a < b) of `whole` are together, of which at least one is in `some`, a part of it.
+
+    A group's members in `whole` are dealt to parts of about `block` by a hash, and its few members in `some` go to each part.
+    """
+    sizes = whole.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    touched = some.select("g").distinct()
+    marked = whole.join(touched, "g", "left_semi").join(some.withColumn("new", F.lit(True)), ["g", "m"], "left").join(sizes, "g")
+    right = marked.select("g", F.pmod(F.xxhash64("m"), F.col("parts")).cast("int").alias("part"), F.col("m").alias("y"), F.coalesce("new", F.lit(False)).alias("both"))
+    left = some.join(sizes, "g").select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("m").alias("x"))
+    met = left.join(right, ["g", "part"]).where((F.col("x") != F.col("y")) & (~F.col("both") | (F.col("x") < F.col("y"))))
+    return met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("k"))
+
+
+def update_cooccurrence(counts: DataFrame, links: DataFrame, added: DataFrame, removed: DataFrame, group: str, member: str, count: str = "n", block: int = 4096) -> DataFrame:
+    """The network `counts` (a, b, n) of `links` after links were added and others removed; equal to cooccurrence of the new links.
+
+    Only pairs with an added or a removed member are made; groups that did not change are not read beyond their keys.
+    """
+    old = _members(links, group, member)
+    gone = _members(removed, group, member).join(old, ["g", "m"], "left_semi")
+    rest = old.join(gone, ["g", "m"], "left_anti")
+    new = _members(added, group, member).join(rest, ["g", "m"], "left_anti")
+    plus = _pairs_with(new, rest.unionByName(new), block)
+    minus = _pairs_with(gone, old, block).withColumn("k", -F.col("k"))
+    every = counts.select("a", "b", F.col(count).alias("k")).unionByName(plus).unionByName(minus)
+    return every.groupBy("a", "b").agg(F.sum("k").alias(count)).where(F.col(count) > 0)
+
+
 def similar_journals(links: dict[str, DataFrame], min_score: float = 0.1) -> DataFrame:
     """a, b, similarity_score: mean Jaccard similarity of journals over link sets (journal_id, member). The formula is ours."""
     parts = []
@@ -139,6 +172,17 @@ def trends(df: DataFrame, entity: str, year: str) -> DataFrame:
     return n.withColumn("change", F.col("n") - F.lag("n").over(Window.partitionBy("entity").orderBy("year")))
 
 
+def metric_trends(rankings: DataFrame, entity: str, year: str, score: str, quartile: str) -> DataFrame:
+    """entity, year, score, quartile, score_change, quartile_change, gap: yearly means of a score, the best quartile (1 to 4), and their changes.
+
+    Changes are against the entity's last year in the data; `gap` is how many years lie between them. Ours.
+    """
+    q = F.substring(quartile, 2, 1).try_cast("int")
+    yearly = rankings.where(F.col(entity).isNotNull() & F.col(year).isNotNull()).groupBy(F.col(entity).alias("entity"), F.col(year).alias("year")).agg(F.avg(score).alias("score"), F.min(F.when(q.between(1, 4), q)).alias("quartile"))
+    before = Window.partitionBy("entity").orderBy("year")
+    return yearly.select("*", (F.col("score") - F.lag("score").over(before)).alias("score_change"), (F.col("quartile") - F.lag("quartile").over(before)).alias("quartile_change"), (F.col("year") - F.lag("year").over(before) - 1).alias("gap"))
+
+
 def graph_references(articles: DataFrame) -> DataFrame:
     """(src, ref) rows of articles' cleaned references."""
     return articles.select(F.col("article_id").alias("src"), F.explode(S.clean_references("references")).alias("ref"))

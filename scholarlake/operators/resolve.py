@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarlake.functions import scalars as S
+from scholarlake.operators.terms import term_matches
+
+#: Comparisons of a column with a term that one expression holds.
+MANY_TERMS = 64
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Column, *values: str) -> DataFrame:
@@ -111,7 +115,9 @@ def object_references(payload: Column | str) -> Column:
 
 
 def domain_matches(articles: DataFrame, text_columns: list[str], terms: list[str], key: str = "article_id") -> DataFrame:
-    """Distinct keys of rows with any term in any column, ignoring case."""
+    """Distinct keys of rows with any term in any column, ignoring case; many terms go through one automaton, as an expression of all overflows."""
+    if len(text_columns) * len(terms) > MANY_TERMS:
+        return term_matches(articles, text_columns, terms, key)
     hit = reduce(lambda a, b: a | b, (F.coalesce(F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit(t)), F.lit(False)) for c in text_columns for t in terms), F.lit(False))
     return articles.where(hit).select(key).distinct()
 

@@ -537,12 +537,30 @@ def scores(t: Tables) -> DataFrame:
     return t.events.select("event_id", S.score_or_zero(F.get_json_object("props", "$.k")).alias("score"))
 
 
-@query()
+def unescaped(sql: str) -> str:
+    """SQL of a text with the entities of the given pages as characters."""
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·")):
+        sql = f"replace({sql}, '{entity}', '{char}')"
+    return f"regexp_replace({sql}, '&amp;?', '&', 'g')"
+
+
+def clean_sql(sql: str) -> str:
+    return f"trim(regexp_replace({unescaped(f"regexp_replace({sql}, '(?s)<[^>]+>', ' ', 'g')")}, '\\s+', ' ', 'g'))"
+
+
+_ANCHORS = """regexp_extract_all(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']+)["''][^>]*>(.*?)</a>', {})"""
+
+
+@query(
+    f"""with a as (select page_id, url, {_ANCHORS.format(1)} as h, {_ANCHORS.format(2)} as l from pages), x as (select *, unnest(range(len(h))) as i from a),
+y as (select page_id, cast(i as int) as place, regexp_extract(url, '^https?://[^/?#]+', 0) || {unescaped("h[i + 1]")} as link, {clean_sql("l[i + 1]")} as label from x)
+select page_id, place, link, label from y qualify row_number() over (partition by page_id, link order by place) = 1"""
+)
 def page_links(t: Tables) -> DataFrame:
     return html.page_links(t.pages)
 
 
-@query()
+@query(f"select page_id, {clean_sql("coalesce(html, '')")} as text from pages")
 def page_text(t: Tables) -> DataFrame:
     return html.page_text(t.pages)
 

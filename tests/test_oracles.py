@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scholarlake.operators import reports
-from scholarlake.plans import flow_queries, registry, store_queries  # noqa: F401 - these register more
+from scholarlake.plans import flow_queries, more_queries, registry, store_queries  # noqa: F401 - these register more
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
