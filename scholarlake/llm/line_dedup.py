@@ -1,7 +1,9 @@
 """Operator 7: reversible line dedup with sharded cuckoo filters over exact reference counts.
 
-State is one exact table (shard, shards, k1, k2, refs): how many documents hold a line key. Adding and deleting
-documents add and subtract, so every step can be undone. The keys that reach `min_docs` are also in one
+State is one exact table (shard, shards, k1, k2, refs, last): how many documents hold a line key, and the largest doc_id
+that does. Adding and deleting documents add and subtract, so every step can be undone; where the last holder is deleted, the
+one before it is looked up in the table of holders (k1, k2, doc_id), for those keys alone. Documents that are judged by a stored
+state so lose what they would lose in one batch with all that it counts. The keys that reach `min_docs` are also in one
 cuckoo filter per shard; keys that reach it later are inserted, and keys that fall below it are deleted.
 
 Line keys are dealt to their shard, where they stream past the shard's filter and then its exact table:
@@ -158,9 +160,14 @@ def _sharded(keys: DataFrame, shards: int) -> DataFrame:
 
 
 def count_lines(documents: DataFrame, min_chars: int = MIN_CHARS, shards: int | None = None) -> DataFrame:
-    """The reference-count table (shard, shards, k1, k2, refs) of `documents`."""
+    """The reference-count table (shard, shards, k1, k2, refs, last) of `documents`."""
     n = shards or shuffles(documents.sparkSession)
-    return _sharded(_counted(documents, stored(_postings(_keyed(documents), min_chars))), n).select("shard", "shards", "k1", "k2", "refs")
+    return _sharded(_counted(documents, stored(_postings(_keyed(documents), min_chars))), n).select("shard", "shards", "k1", "k2", "refs", "last")
+
+
+def line_holders(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(k1, k2, doc_id): which documents hold which line keys; what a deletion needs beside the counts."""
+    return _postings(_keyed(documents), min_chars).select("k1", "k2", "doc_id").distinct()
 
 
 def shard_count(refs: DataFrame) -> int:
@@ -169,13 +176,34 @@ def shard_count(refs: DataFrame) -> int:
     return some["shards"] if some else shuffles(refs.sparkSession)
 
 
-def update_counts(refs: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The table after documents (whose doc_ids are new, or were added before) are added and deleted; deleting what was added gives the old table."""
-    n, total = shard_count(refs), refs
+def update_counts(refs: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None, holders: DataFrame | None = None, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The table after documents (whose doc_ids are new, or were added before) are added and deleted; deleting what was added gives the old table.
+
+    `holders`: line_holders of the documents that `refs` counts (others may be there too if they are added or removed now); without it, a
+    deletion of a key's largest doc_id is refused if the key stays.
+    """
+    n = shard_count(refs)
+    total = refs.withColumn("gone", F.lit(None).cast("long"))
     for docs, sign in ((added, 1), (removed, -1)):
         if docs is not None:
-            total = total.unionByName(count_lines(docs, min_chars, n).withColumn("refs", F.col("refs") * sign))
-    return total.groupBy("shard", "shards", "k1", "k2").agg(F.sum("refs").alias("refs")).where("refs > 0")
+            now = count_lines(docs, min_chars, n)
+            is_new = F.lit(sign > 0)
+            total = total.unionByName(now.select("shard", "shards", "k1", "k2", (F.col("refs") * sign).alias("refs"), F.when(is_new, F.col("last")).alias("last"), F.when(~is_new, F.col("last")).alias("gone")))
+    keys = ["shard", "shards", "k1", "k2"]
+    summed = total.groupBy(*keys).agg(F.sum("refs").alias("refs"), F.max("last").alias("last"), F.max("gone").alias("gone")).where("refs > 0")
+    if removed is None:
+        return summed.drop("gone")
+    summed = stored(summed)
+    is_lost = F.coalesce(F.col("gone") >= F.col("last"), F.lit(False))
+    lost = summed.where(is_lost).drop("last", "gone")
+    if holders is None:
+        if lost.limit(1).count():
+            raise ValueError("the largest doc_id of a line is deleted: give the holders")
+        return summed.drop("gone")
+    there = holders if added is None else holders.unionByName(line_holders(added, min_chars))
+    left = there.join(removed.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_anti")
+    found = left.join(lost.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.max("doc_id").alias("last"))
+    return summed.where(~is_lost).drop("gone").unionByName(lost.join(found, ["k1", "k2"]))
 
 
 def build_filters(frequent: DataFrame) -> DataFrame:
@@ -269,7 +297,7 @@ def drop_repeated_lines(documents: DataFrame, refs: DataFrame | None = None, fil
     found = _counted(documents, postings)
     shards = shuffles(spark) if refs is None else shard_count(refs)
     if refs is not None:
-        found = found.select("k1", "k2", "last").join(refs.select("k1", "k2", "refs"), ["k1", "k2"])
+        found = found.select("k1", "k2", F.col("last").alias("own")).join(refs.select("k1", "k2", "refs", "last"), ["k1", "k2"]).withColumn("last", F.greatest("own", "last"))
     frequent = stored(_sharded(found.where(F.col("refs") >= min_docs), shards))
     states = stored(_shard_states(frequent, build_filters(frequent) if filters is None else filters))
     row, gone = free_name(documents, "_row"), free_name(documents, "_keys")
