@@ -103,7 +103,8 @@ def keep_report(tables: dict[str, DataFrame], pruned: dict[str, DataFrame], tota
     rows = reduce(DataFrame.unionByName, parts)
     if not total_row:
         return rows
-    return rows.unionByName(rows.agg(F.lit("ALL").alias("table_name"), *(F.sum(c).alias(c) for c in ("total", "keep", "remove"))))
+    # table names are never null, so the rollup's null is the sum of all
+    return rows.rollup("table_name").agg(*(F.sum(c).alias(c) for c in ("total", "keep", "remove"))).withColumn("table_name", F.coalesce("table_name", F.lit("ALL")))
 
 
 def protected_missing(kept: dict[str, DataFrame], protected: dict[str, DataFrame]) -> DataFrame:
