@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from scholarlake.operators import graph, references, resolve, terms
 
