@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scholarlake.functions import scalars as S
 from scholarlake.operators import resolve
+from scholarlake.sources.scratch import stored
 
 
 def nodes(df: DataFrame, key: str, properties: list[str], cap: int | None = None) -> DataFrame:
@@ -153,16 +155,63 @@ def update_cooccurrence(counts: DataFrame, links: DataFrame, added: DataFrame, r
     return every.groupBy("a", "b").agg(F.sum("k").alias(count)).where(F.col(count) > 0)
 
 
+#: Bounds on similarities leave this share for rounding.
+SLACK = 1 - 1e-9
+
+
+def counted_members(links: DataFrame) -> DataFrame:
+    """g, m, f: distinct (journal_id, last column), with the number of journals that have the member, stored once."""
+    d = links.where(F.col("journal_id").isNotNull()).select(F.col("journal_id").alias("g"), F.col(links.columns[-1]).alias("m")).distinct()
+    return stored(d.join(d.where("m is not null").groupBy("m").agg(F.count("*").alias("f")), "m", "left"))
+
+
+def similarity_candidates(members: DataFrame, min_score: float, block: int = 1024) -> DataFrame:
+    """a, b: pairs of sets (a < b) that may reach the Jaccard similarity `min_score`; none that does is missing. `members` is (g, m, f).
+
+    Two such sets share a member among each one's rarest n - ceil(min_score * n) + 1 (whole classes of equal f are taken, so that
+    counts by f replace a sort of each set), and sizes that differ by more than min_score never meet. A member's sets are
+    dealt to parts of about `block`. What both prefixes share and what the shorter one leaves out bound the common members.
+    """
+    t, whole = max(min_score, 0.0) * SLACK, Window.partitionBy("g")
+    by_f = members.groupBy("g", "f").agg(F.count("*").alias("c"))
+    by_f = by_f.select("g", "f", F.sum("c").over(whole.orderBy("f")).alias("upto"), F.sum("c").over(whole).alias("n"))
+    enough = F.col("upto") > F.col("n") - F.greatest(F.ceil(F.col("n") * t), F.lit(1))
+    cuts = by_f.where(enough & F.col("f").isNotNull()).groupBy("g").agg(F.min(F.struct("f", "upto", "n")).alias("x")).select("g", F.col("x.f").alias("cut"), (F.col("x.n") - F.col("x.upto")).alias("rest"), F.col("x.n").alias("n"))
+    size = F.floor(F.ln("n") / math.log((1 + 1e-6) / min_score)) if 0 < min_score <= 1 else F.lit(0).cast("long")
+    rare = members.where("f > 1").join(cuts, "g").where("f <= cut").select("g", "m", "cut", "rest", "n", size.alias("size"))
+    parts = rare.groupBy("m", "size").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    near = F.array(*(F.col("size") + i for i in (-1, 0, 1))) if 0 < min_score <= 1 else F.array("size")
+    info = F.struct("g", "n", "cut", "rest")
+    left = rare.select("m", info.alias("x"), F.explode(near).alias("size")).join(parts, ["m", "size"]).select("m", "size", "x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    right = rare.join(parts, ["m", "size"]).select("m", "size", info.alias("y"), F.pmod(F.xxhash64("g"), F.col("parts")).cast("int").alias("part"))
+    fits = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * t
+    met = left.join(right, ["m", "size", "part"]).where((F.col("x.g") < F.col("y.g")) & fits)
+    pairs = met.groupBy(F.col("x.g").alias("a"), F.col("y.g").alias("b")).agg(F.count("*").alias("k"), F.min("x").alias("x"), F.min("y").alias("y"))
+    left_out = F.when(F.col("x.cut") < F.col("y.cut"), F.col("x.rest")).when(F.col("x.cut") > F.col("y.cut"), F.col("y.rest")).otherwise(F.least("x.rest", "y.rest"))
+    return pairs.where(F.col("k") + left_out >= (F.col("x.n") + F.col("y.n")) * (t / (1 + t))).select("a", "b")
+
+
+def _similarities(members: DataFrame, pairs: DataFrame, block: int = 4096) -> DataFrame:
+    """a, b, s: Jaccard similarities of the pairs that share a member. A set's members are dealt to parts of about `block`."""
+    sizes = members.groupBy("g").agg(F.count("*").alias("n"))
+    of = lambda end, n: sizes.select(F.col("g").alias(end), F.col("n").alias(n))
+    parts = F.ceil(F.col("na") / block).cast("int")
+    sized = pairs.join(of("a", "na"), "a").join(of("b", "nb"), "b")
+    asked = sized.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    mine = members.where("f > 1").join(of("a", "own"), F.col("g") == F.col("a")).select("a", "m", F.pmod(F.xxhash64("m"), F.ceil(F.col("own") / block).cast("int")).cast("int").alias("part"))
+    both = asked.join(mine, ["a", "part"]).join(members.select(F.col("g").alias("b"), "m"), ["b", "m"])
+    return both.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k")).select("a", "b", (F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).alias("s"))
+
+
 def similar_journals(links: dict[str, DataFrame], min_score: float = 0.1) -> DataFrame:
-    """a, b, similarity_score: mean Jaccard similarity of journals over link sets (journal_id, member). The formula is ours."""
-    parts = []
-    for name, df in links.items():
-        d = df.select("journal_id", F.col(df.columns[-1]).alias("m")).distinct()
-        size = d.groupBy("journal_id").agg(F.count("*").alias("n"))
-        both = cooccurrence(d, "m", "journal_id", "k")
-        scored = both.join(size.select(F.col("journal_id").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("journal_id").alias("b"), F.col("n").alias("nb")), "b")
-        parts.append(scored.select("a", "b", (F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).alias("s")))
-    total = reduce(DataFrame.unionByName, parts).groupBy("a", "b").agg((F.sum("s") / len(parts)).alias("similarity_score"))
+    """a, b, similarity_score: mean Jaccard similarity of journals over link sets (journal_id, member). The formula is ours.
+
+    A mean of at least min_score needs a link set with that similarity, so only candidates of some set are scored. Links without
+    a journal are ignored; a link without a member is in its journal's size and in common with nothing.
+    """
+    members = [counted_members(df) for df in links.values()]
+    pairs = stored(reduce(DataFrame.unionByName, (similarity_candidates(m, min_score) for m in members)).distinct())
+    total = reduce(DataFrame.unionByName, (_similarities(m, pairs) for m in members)).groupBy("a", "b").agg((F.sum("s") / len(members)).alias("similarity_score"))
     return total.where(F.col("similarity_score") >= min_score)
 
 

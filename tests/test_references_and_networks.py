@@ -79,3 +79,33 @@ def test_a_network_after_batches_equals_a_rebuild(spark, block):
 def test_trends_see_gaps(spark):
     df = spark.createDataFrame([(1, 2000, 1.0, "Q2"), (1, 2000, 3.0, "Q1"), (1, 2003, 5.0, "-"), (1, 2004, 4.0, "Q4"), (2, 2001, None, None), (None, 2001, 1.0, "Q1")], "j long, y int, s double, q string")
     assert rows(graph.metric_trends(df, "j", "y", "s", "q")) == [(1, 2000, 2.0, 1, None, None, None), (1, 2003, 5.0, None, 3.0, None, 2), (1, 2004, 4.0, 4, -1.0, None, 0), (2, 2001, None, None, None, None, None)]
+
+
+def test_similar_journals_equal_all_pairs_with_fewer_candidates(spark):
+    rng = random.Random(3)
+    word = lambda: int(40 * rng.random() ** 3) if rng.random() < 0.4 else 100 + rng.randrange(600)
+    links = {
+        "authors": [(j, word()) for j in range(60) for _ in range(rng.choice([1, 3, 12, 40]))] + [(99, 1), (99, 1), (None, 1), (5, None), (98, None)],
+        "topics": [(j, rng.randrange(30)) for j in range(0, 70, 2) for _ in range(rng.randint(1, 6))],
+    }
+    links["authors"] += [(200 + j, m) for j, m in links["authors"] if j is not None and j < 10 and rng.random() < 0.8]  # near copies
+    frames = {n: spark.createDataFrame(v, "journal_id long, m long") for n, v in links.items()}
+    sets = {n: {j: {m for k, m in v if k == j} for j in {k for k, _ in v} - {None}} for n, v in links.items()}
+
+    def similarity(s, a, b):
+        both = len((s.get(a, set()) & s.get(b, set())) - {None})
+        return both / (len(s[a]) + len(s[b]) - both) if both else 0.0
+
+    every = sorted({j for s in sets.values() for j in s})
+    for least in (0.05, 0.1, 0.5, 1.0):
+        for names in (["authors"], ["authors", "topics"]):
+            want = {(a, b): v for i, a in enumerate(every) for b in every[i + 1 :] if (v := sum(similarity(sets[n], a, b) for n in names) / len(names)) >= least}
+            got = {(r["a"], r["b"]): r["similarity_score"] for r in graph.similar_journals({n: frames[n] for n in names}, least).collect()}
+            assert got == pytest.approx(want)
+    members = graph.counted_members(frames["authors"])
+    shared = graph.cooccurrence(frames["authors"], "m", "journal_id").count()
+    found = {least: {(r["a"], r["b"]) for r in graph.similarity_candidates(members, least, block=4).collect()} for least in (0.1, 0.5)}
+    for least, pairs in found.items():
+        assert {(a, b) for i, a in enumerate(every) for b in every[i + 1 :] if similarity(sets["authors"], a, b) >= least if a in sets["authors"] and b in sets["authors"]} <= pairs
+    assert len(found[0.1]) < shared / 2 and len(found[0.5]) < shared / 20
+    assert graph.similar_journals({"authors": frames["authors"].limit(0)}).count() == 0
