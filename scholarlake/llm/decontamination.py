@@ -6,9 +6,10 @@ a shift table over block hashes that says how far the search may skip, and bucke
 of a pattern's last block. Where the shift is zero the bucket's patterns are confirmed word by word.
 Many search positions advance at once in numpy; no Python runs per word.
 
-Patterns reach the tasks in blocks of at most BLOCK_ITEMS items and BLOCK_CHARS characters, each
-broadcast on its own and PASS_BLOCKS of them for one pass over the documents, so that what is broadcast is
-bounded for a benchmark of any size.
+Tasks build the tables, each of at most BLOCK_ITEMS items and BLOCK_CHARS characters (or one longer item), and write them
+to the shared folder. A shift table has 16 to 32 slots for each of its patterns, so that its skips do not shrink as patterns
+grow. The driver hands on PASS_BLOCKS of them as broadcasts for one pass over the documents, so that what is broadcast
+is bounded for a benchmark of any size.
 
 Defined results: null or empty text has no words; an item without words occurs nowhere; items of one
 item_id are one item; an item without item_id marks words like any other, all such items count as one in the
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, ascii_lower, free_name, mix, ranges, row_key, text_chunks, word_spans
+from .common import ROW, ascii_lower, free_name, mix, ranges, row_key, stored, text_chunks, word_spans
 
 WINDOW = 10
 BLOCK_ITEMS = 20_000
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 8 << 20
 #: Blocks that one pass over the documents searches; their summed tables are what is broadcast at once.
-PASS_BLOCKS = 4
-#: Bits of the shift tables.
-TABLE_BITS = 18
+PASS_BLOCKS = 2
+#: log2 of the least number of slots for each pattern of a shift table.
+SPARE_BITS = 4
 #: Words that one search position covers.
 STRIDE = 256
 
@@ -45,44 +45,53 @@ WORD = np.zeros(256, bool)
 WORD[0x30:0x3A] = WORD[0x61:0x7B] = WORD[0x41:0x5B] = WORD[0x80:] = True
 
 
-def words_of(text: str | None) -> list[bytes]:
-    buf = np.frombuffer((text or "").encode(), np.uint8)
-    s, e, _ = word_spans(buf, WORD, LOWER)
-    raw = LOWER[buf].tobytes()
-    return [raw[a:b] for a, b in zip(s.tolist(), e.tolist())]
+def _block_hashes(words: np.ndarray, block: int) -> np.ndarray:
+    """Hash of every block of consecutive words."""
+    return mix(words.copy() if block == 1 else words[:-1] * np.uint64(3) + words[1:])
 
 
-def _hash_words(words: list[bytes]) -> np.ndarray:
-    return word_spans(np.frombuffer(b" ".join(words), np.uint8), WORD, LOWER)[2]
+def _distinct(hashes: np.ndarray, raw: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, starts of runs of equal strings in it) of the byte strings raw[at : at + size], which have these hashes."""
+    order = np.argsort(hashes, kind="stable")
+    new = np.ones(len(order), bool)
+    alike = np.flatnonzero((hashes[order][1:] == hashes[order][:-1]) & (size[order][1:] == size[order][:-1])) + 1
+    for lo in range(0, len(alike), 1 << 16):
+        now, last, n = order[alike[lo : lo + (1 << 16)]], order[alike[lo : lo + (1 << 16)] - 1], size[order[alike[lo : lo + (1 << 16)]]]
+        differ = raw[ranges(at[now], n)] != raw[ranges(at[last], n)]
+        new[alike[lo : lo + (1 << 16)]] = np.add.reduceat(differ, np.cumsum(n) - n) > 0
+    return order, np.flatnonzero(new)
 
 
 class ShiftTable:
-    """Wu-Manber tables of the patterns of one length (in words)."""
-
-    def __init__(self, length: int, patterns: list[tuple[bytes, ...]]):
-        self.length, self.block = length, min(2, length)
-        self.words = np.stack([_hash_words(list(p)) for p in patterns])
-        self.raw = [b" ".join(p) for p in patterns]
-        slots = self.slot(self.words)  # (pattern, block place)
-        places = slots.shape[1]
-        self.shift = np.full(1 << TABLE_BITS, places, np.int16)
-        for at in range(places):
-            np.minimum.at(self.shift, slots[:, at], np.int16(places - 1 - at))
-        tail = slots[:, -1]
-        self.by_tail = np.argsort(tail, kind="stable")
-        self.tails = tail[self.by_tail]
-
-    def slot(self, words: np.ndarray) -> np.ndarray:
-        """Table slot of every block of consecutive words (last axis)."""
-        x = words.copy() if self.block == 1 else words[..., :-1] * np.uint64(3) + words[..., 1:]
-        return (mix(x) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    """Wu-Manber tables of the patterns of one length: runs of `length` words of the block's words that start at `starts`."""
+
+    def __init__(self, length: int, words: np.ndarray, starts: np.ndarray):
+        self.length, self.block, self.known, self.starts = length, min(2, length), words, starts
+        self.bits = max(10, int(len(starts)).bit_length() + SPARE_BITS)
+        hashes = _block_hashes(words, self.block)
+        places = length - self.block + 1
+        self.shift = np.full(1 << self.bits, places, np.int8 if places < 128 else np.int32)
+        for at in range(places):  # later blocks have smaller shifts
+            self.shift[self.slot(hashes[starts + at])] = places - 1 - at
+        keys = self.bucket(hashes[starts + places - 1], hashes[starts])
+        self.by_bucket = np.argsort(keys, kind="stable")
+        self.buckets = keys[self.by_bucket]
+
+    def slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    @staticmethod
+    def bucket(last: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Key of a bucket: the hash of the last block, then of the first, so that a frequent ending is not one bucket."""
+        return (last & np.uint64(0xFFFFFFFF00000000)) | (first >> np.uint64(32))
 
     def find(self, words: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start word, pattern) of all occurrences; doc_end: for each word the end of its document."""
         n, none = len(words), np.zeros(0, np.int64)
         if n < self.length:
             return none, none
-        slots = self.slot(words)
+        hashes = _block_hashes(words, self.block)
+        slots = self.slot(hashes)
         # a position is the last block of a candidate; each of many cursors owns STRIDE positions
         first = self.length - self.block
         at = np.arange(first, len(slots), STRIDE)
@@ -97,12 +106,12 @@ class ShiftTable:
         end = np.concatenate(ends)
         start = end - first
         ok = start + self.length <= doc_end[start]
-        start, tail = start[ok], slots[end[ok]]
-        lo, hi = np.searchsorted(self.tails, tail, "left"), np.searchsorted(self.tails, tail, "right")
-        start, pattern = np.repeat(start, hi - lo), self.by_tail[ranges(lo, hi - lo)]
+        start, key = start[ok], self.bucket(hashes[end[ok]], hashes[start[ok]])
+        lo, hi = np.searchsorted(self.buckets, key, "left"), np.searchsorted(self.buckets, key, "right")
+        start, pattern = np.repeat(start, hi - lo), self.by_bucket[ranges(lo, hi - lo)]
         same = np.ones(len(start), bool)
         for i in range(self.length):
-            same &= words[start + i] == self.words[pattern, i]
+            same &= words[start + i] == self.known[self.starts[pattern] + i]
         return start[same], pattern[same]
 
 
@@ -110,15 +119,32 @@ class Searcher:
     """Shift tables of all pattern lengths of a block of items, with the items of each pattern."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], window: int = WINDOW):
-        owners: dict[tuple[bytes, ...], set[int | None]] = defaultdict(set)
-        for item, text in items:
-            w = words_of(text)
-            for i in range(max(1, len(w) - window + 1) if w else 0):
-                owners[tuple(w[i : i + window])].add(item)
-        by_length = defaultdict(list)
-        for p in owners:
-            by_length[len(p)].append(p)
-        self.tables = [(ShiftTable(n, ps), [list(owners[p]) for p in ps]) for n, ps in sorted(by_length.items())]
+        self.ids = [item for item, _ in items]
+        texts = [(text or "").encode() + b" " for _, text in items]
+        buf, offs = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        s, e, words = word_spans(buf, WORD, LOWER)
+        # the words with one blank behind each
+        self.place = np.concatenate([[0], np.cumsum(e - s + 1)]).astype(np.int64)
+        self.raw = LOWER[buf[ranges(s, e - s + 1)]]
+        self.raw[self.place[1:] - 1] = 0x20
+        cut = np.searchsorted(s, offs)
+        n_words = np.diff(cut)
+        lengths = np.minimum(n_words, window)
+        #: (table, first owner of each pattern and the end, numbers of the owning items)
+        self.tables: list[tuple[ShiftTable, np.ndarray, np.ndarray]] = []
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            own = np.flatnonzero(lengths == length)
+            count = n_words[own] - length + 1
+            start, item = ranges(cut[own], count), np.repeat(own, count)
+            h = np.zeros(len(start), np.uint64)
+            for i in range(length):
+                h = h * np.uint64(0xD6E8FEB86659FD93) + words[start + i]
+            order, first = _distinct(h, self.raw, self.place[start], self.place[start + length] - self.place[start])
+            self.tables.append((ShiftTable(length, words, start[order[first]]), np.append(first, len(order)), item[order]))
+
+    def occurs(self, raw: bytes, table: ShiftTable, pattern: int) -> bool:
+        at = table.starts[pattern]
+        return raw == self.raw[self.place[at] : self.place[at + table.length] - 1].tobytes()
 
     def scan(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray, set[int]]]]:
         """Number of words of each document, and (document, hit word numbers, items) where any occurs.
@@ -130,37 +156,50 @@ class Searcher:
         doc = np.searchsorted(offs, s, "right") - 1
         doc_end = cut[doc + 1]
         found: dict[int, tuple[list[np.ndarray], set[int]]] = {}
-        for table, owners in self.tables:
+        for table, bounds, owners in self.tables:
             for start, pattern in zip(*(x.tolist() for x in table.find(words, doc_end))):
                 text = LOWER[buf[s[start] : e[start + table.length - 1]]]
                 # the last confirmation is on the bytes: separators become one blank
-                if b" ".join(bytes(text[a - s[start] : b - s[start]]) for a, b in zip(s[start : start + table.length], e[start : start + table.length])) != table.raw[pattern]:
+                if not self.occurs(b" ".join(bytes(text[a - s[start] : b - s[start]]) for a, b in zip(s[start : start + table.length], e[start : start + table.length])), table, pattern):
                     continue
                 spans, items = found.setdefault(int(doc[start]), ([], set()))
                 spans.append(np.arange(start, start + table.length) - cut[doc[start]])
-                items.update(owners[pattern])
+                items.update(self.ids[i] for i in owners[bounds[pattern] : bounds[pattern + 1]].tolist())
         return np.diff(cut), [(d, np.unique(np.concatenate(spans)), items) for d, (spans, items) in sorted(found.items())]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    """Bounded blocks of items; the driver holds one at a time."""
-    held, size = [], 0
-    for item, text in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
-        if held and (len(held) >= BLOCK_ITEMS or size + len(text) > BLOCK_CHARS):
-            yield held
-            held, size = [], 0
-        held.append((item, text))
-        size += len(text)
-    if held:
-        yield held
+def searchers(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """searcher: pickled Searchers of bounded blocks of the items, built by tasks and stored."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
+    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // BLOCK_ITEMS), -(-chars // BLOCK_CHARS))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = lambda held: pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Searcher(held, window))], pa.binary())], names=["searcher"])
+        held, size = [], 0
+        for batch in batches:
+            for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
+                if held and (len(held) >= BLOCK_ITEMS or size + len(text) > BLOCK_CHARS):
+                    yield pack(held)
+                    held, size = [], 0
+                held.append((item, text))
+                size += len(text)
+        if held:
+            yield pack(held)
+
+    return stored(items.repartition(blocks).mapInArrow(build, "searcher binary"))
 
 
 _HITS = f"doc_id long, row {ROW}, n_words long, hits array<int>, items array<long>"
 
 
-def _hits(docs: DataFrame, searchers: list[Searcher]) -> DataFrame:
+def _n_words(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    return np.diff(np.searchsorted(word_spans(buf, WORD, LOWER)[0], offs))
+
+
+def _hits(docs: DataFrame, pickled: list[bytes]) -> DataFrame:
     context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(pickle.dumps(s)) for s in searchers]
+    shared = [context.broadcast(bytes(s)) for s in pickled]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search: list[Searcher] = [pickle.loads(s.value) for s in shared]
@@ -174,7 +213,7 @@ def _hits(docs: DataFrame, searchers: list[Searcher]) -> DataFrame:
                         spans, own = found.setdefault(d, ([], set()))
                         spans.append(h)
                         own.update(i)
-                n_words.append(n)
+                n_words.append(n if search else _n_words(buf, offs))
                 for d, (h, i) in found.items():
                     hits[lo + d], items[lo + d] = np.unique(np.concatenate(h)).tolist(), sorted(i, key=lambda x: (x is not None, x or 0))
             n_words = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
@@ -187,13 +226,13 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """doc_id, row, n_words, hits (numbers of hit words) and items (item_ids that occur) of each document."""
     docs = documents.select("doc_id", row_key().alias("row"), "text")
     found, waiting = [], []
-    for block in _blocks(benchmark):
-        waiting.append(Searcher(block, window))
+    for (block,) in searchers(benchmark, window).toLocalIterator():  # one at a time
+        waiting.append(block)
         if len(waiting) == PASS_BLOCKS:
             found.append(_hits(docs, waiting))
             waiting = []
     if waiting or not found:
-        found.append(_hits(docs, waiting or [Searcher([], window)]))
+        found.append(_hits(docs, waiting))
     if len(found) == 1:
         return found[0]
     # several passes: their few hits meet by row; every row stays, from the first pass

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import time
 import zlib
@@ -185,6 +186,44 @@ def test_shift_table_skips_and_finds_random_patterns():
     assert n[0] == want[1] and len(found[0][1]) == want[2] and len(found[0][2]) == want[3]
 
 
+def test_shift_tables_grow_with_their_patterns():
+    rng = random.Random(4)
+    made = lambda n: decontamination.Searcher([(i, " ".join(str(rng.randrange(50_000)) for _ in range(60))) for i in range(n)], 10).tables[0][0]
+    at = time.time()
+    few, many = made(100), made(6_000)
+    assert time.time() - at < 60
+    assert len(few.starts) == 100 * 51 and len(many.starts) == 6_000 * 51
+    for table in (few, many):
+        assert (table.shift == 0).mean() < 1 / 16 and table.shift.mean() > 8
+
+
+def test_repeated_windows_are_one_pattern_of_many_items():
+    boiler = "choose one of the following answers and give a reason for it"
+    items = [(i, f"{boiler} question {i}") for i in range(300)]
+    searcher = decontamination.Searcher(items, 10)
+    (table, bounds, owners), = searcher.tables
+    assert len(table.starts) == 4 + 300  # of an item's five windows only the last holds its number
+    text = f"x {boiler.upper()} y. {boiler}, question 7"
+    n, found = searcher.scan(np.frombuffer((text + " ").encode(), np.uint8), np.array([0, len(text) + 1]))
+    want = decontamination.brute_force([(0, text)], items)[0]
+    assert (n[0], len(found[0][1]), len(found[0][2])) == want[1:4] and want[3] == 300
+
+
+def test_windows_of_one_hash_are_told_apart_by_bytes():
+    raw = np.frombuffer(b"ab ab ac abc ac ", np.uint8)
+    order, first = decontamination._distinct(np.zeros(5, np.uint64), raw, np.array([0, 3, 6, 9, 13]), np.array([3, 3, 3, 4, 3]))
+    runs = [sorted(raw[[0, 3, 6, 9, 13][i] :][: [3, 3, 3, 4, 3][i]].tobytes() for i in order[a:b]) for a, b in zip(first, [*first[1:], 5])]
+    assert all(len(set(r)) == 1 for r in runs) and sum(map(len, runs)) == 5 and len(runs) >= 3
+
+
+def test_searchers_are_built_by_tasks_in_bounded_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 200)
+    items = spark.createDataFrame([(i, f"item number {i} " * 4) for i in range(20)] + [(99, "long " * 200), (100, None), (3, "item number 3 " * 4)], "item_id long, text string")
+    blocks = [pickle.loads(bytes(r[0])) for r in decontamination.searchers(items).collect()]
+    assert sorted(i for b in blocks for i in b.ids) == [*range(20), 99] and len(blocks) > 5
+    assert all(len(b.ids) == 1 or len(b.raw) <= 200 + 60 for b in blocks)
+
+
 # 4 chat
 
 
