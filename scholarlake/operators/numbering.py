@@ -11,13 +11,14 @@ from scholarlake.sources.scratch import stored
 PLACE_BITS = 33
 
 
-def dense_numbers(df: DataFrame, order: list[Column | str], name: str = "number", first: Column | int = 1) -> DataFrame:
+def dense_numbers(df: DataFrame, order: list[Column | str], name: str = "number", first: Column | int = 1, ranges: list[Column | str] | None = None) -> DataFrame:
     """df with consecutive numbers from `first` in the order of `order`, which should be total.
 
     Rows are sorted into ranges, which are written once; a range's rows are numbered by their place in it, behind the counts of
-    the ranges before it. What is ranked in one task is a row for each range.
+    the ranges before it. What is ranked in one task is a row for each range. `ranges` are shorter keys that rise with the order, to cut
+    the ranges by: their sample passes through the driver.
     """
-    ranged = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()))
+    ranged = stored(df.repartitionByRange(*(ranges or order)).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", PLACE_BITS)
     counts = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
