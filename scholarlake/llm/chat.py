@@ -5,9 +5,10 @@ its conversation and a 128-bit prefix hash, the running exclusive-or of place-ke
 A conversation whose full hash is a proper prefix hash of another, or equals that of one with a smaller
 conv_id, goes by an anti join; the maximal ones are rendered.
 
-Places and prefix hashes are made in two levels - inside blocks of BLOCK_TURNS turn numbers, then over the
-blocks of a conversation - so that a conversation with a third of all rows is not one sort. Rendered
-text comes in parts of at most that many turn numbers, so no group is collected without bound.
+Places come from a sort of all turns into ranges, prefix hashes from blocks of BLOCK_TURNS places and then from the
+blocks of a conversation, and the joins deal a hot conversation's turns to parts, so that a conversation with a third of
+all rows is not one sort and not one task. Rendered text comes by `part` (BLOCK_TURNS turn numbers; -1 for turns without one) and
+`piece` (BLOCK_TURNS places), so no group is collected without bound, whatever the turn numbers are.
 
 Defined results: turns are ordered by (turn, role, text), nulls first; exact repeats of a turn row count
 once; null role and text render as empty; rows without conv_id are ignored; an empty table gives no rows;
@@ -19,55 +20,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from scholarlake.operators.numbering import dense_numbers
+
+from .common import dealt_join, stored
 
 BLOCK_TURNS = 512
+#: Characters of a text that the ranges of the sort are cut by.
+RANGE_CHARS = 32
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
 def prefix_hashes(conversations: DataFrame) -> DataFrame:
-    """conv_id, block, place (from 1), role, text, p1, p2 of every turn."""
+    """conv_id, n (its turns), part, piece, place (from 1), role, text, p1, p2 of every turn."""
     turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").where("conv_id is not null").distinct()
-    turns = turns.withColumn("block", F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK_TURNS))
-    counts = turns.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
-    over_blocks = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(over_blocks), F.lit(0)))
-    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
-    placed = turns.join(counts, ["conv_id", "block"]).withColumn("place", F.col("before") + F.row_number().over(inside))
+    numbered = dense_numbers(turns, ["conv_id", "turn", "role", "text"], "at", 0, ["conv_id", "turn", "role", F.substring("text", 1, RANGE_CHARS)])
+    counts = stored(numbered.groupBy("conv_id").agg(F.min("at").alias("first"), F.count("*").alias("k")))
+    placed = dealt_join(numbered, counts.withColumnRenamed("k", "n"), ["conv_id"], ["at"], counts)
+    placed = placed.withColumn("place", F.col("at") - F.col("first") + 1).withColumns({"part": F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK_TURNS), "piece": F.floor((F.col("place") - 1) / BLOCK_TURNS)})
     # nulls are told from empty strings
-    part = lambda c: F.concat(F.col(c).isNull().cast("string"), F.coalesce(c, F.lit("")))
-    placed = placed.withColumns({"t1": F.xxhash64("place", part("role"), part("text")), "t2": F.xxhash64(part("text"), part("role"), F.lit(1), "place")})
-    sums = placed.groupBy("conv_id", "block").agg(F.bit_xor("t1").alias("s1"), F.bit_xor("t2").alias("s2"))
-    sums = sums.select("conv_id", "block", *(F.coalesce(F.bit_xor(c).over(over_blocks), F.lit(0)).alias(b) for c, b in (("s1", "b1"), ("s2", "b2"))))
-    running = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return placed.join(sums, ["conv_id", "block"]).select("conv_id", "block", "place", "role", "text", *(F.bit_xor(t).over(running).bitwiseXOR(F.col(b)).alias(p) for t, b, p in (("t1", "b1", "p1"), ("t2", "b2", "p2"))))
+    filled = lambda c: F.concat(F.col(c).isNull().cast("string"), F.coalesce(c, F.lit("")))
+    placed = placed.withColumns({"t1": F.xxhash64("place", filled("role"), filled("text")), "t2": F.xxhash64(filled("text"), filled("role"), F.lit(1), "place")})
+    over_pieces = Window.partitionBy("conv_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("conv_id", "piece").agg(F.bit_xor("t1").alias("s1"), F.bit_xor("t2").alias("s2"))
+    sums = sums.select("conv_id", "piece", *(F.coalesce(F.bit_xor(c).over(over_pieces), F.lit(0)).alias(b) for c, b in (("s1", "b1"), ("s2", "b2"))))
+    running = Window.partitionBy("conv_id", "piece").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(sums, ["conv_id", "piece"]).select("conv_id", "n", "part", "piece", "place", "role", "text", *(F.bit_xor(t).over(running).bitwiseXOR(F.col(b)).alias(p) for t, b, p in (("t1", "b1", "p1"), ("t2", "b2", "p2"))))
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
     """conv_id, n_turns, n_copies of conversations that are no proper prefix and no later copy of another."""
-    ends = turns.groupBy("conv_id").agg(F.max(F.struct("place", "p1", "p2")).alias("e")).select("conv_id", "e.*")
-    distinct = ends.groupBy("place", "p1", "p2").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
+    distinct = turns.where("place = n").groupBy("place", "p1", "p2").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
     # proper prefixes: every place but a conversation's last
-    inner = turns.join(ends.select("conv_id", F.col("place").alias("n")), "conv_id").where("place < n").select("place", "p1", "p2").distinct()
+    inner = turns.where("place < n").select("place", "p1", "p2").distinct()
     return distinct.join(inner, ["place", "p1", "p2"], "left_anti").select("conv_id", F.col("place").alias("n_turns"), "n_copies")
 
 
 def render_conversations(conversations: DataFrame) -> DataFrame:
-    """conv_id, part, n_turns, n_copies, rendered: the maximal conversations as chat text."""
+    """conv_id, part, piece, n_turns, n_copies, rendered: the maximal conversations as chat text, in the order of piece, then part."""
     turns = stored(prefix_hashes(conversations))
     kept = maximal_conversations(turns)
-    piece = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(CLOSE))
-    shown = turns.join(kept, "conv_id").groupBy("conv_id", F.col("block").alias("part"), "n_turns", "n_copies").agg(F.array_sort(F.collect_list(F.struct("place", piece.alias("piece")))).alias("pieces"))
-    return shown.select("conv_id", "part", "n_turns", "n_copies", F.array_join(F.transform("pieces", lambda x: x["piece"]), "").alias("rendered"))
+    counts = turns.where("place = n").select("conv_id", F.col("n").alias("k"))
+    shown = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(CLOSE))
+    rows = dealt_join(turns, kept, ["conv_id"], ["piece"], counts)
+    texts = rows.groupBy("conv_id", "part", "piece", "n_turns", "n_copies").agg(F.array_sort(F.collect_list(F.struct("place", shown.alias("shown")))).alias("all"))
+    return texts.select("conv_id", "part", "piece", "n_turns", "n_copies", F.array_join(F.transform("all", lambda x: x["shown"]), "").alias("rendered"))
 
 
 ORACLE = """
-with t as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
+with t as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as place
+  from (select distinct conv_id, turn, role, text from conversations where conv_id is not null)
+),
 c as (select conv_id, list({'r': role, 't': text} order by turn nulls first, role nulls first, text nulls first) as l from t group by conv_id),
 d as (select l, min(conv_id) as conv_id, count(*) as n_copies from c group by l),
 p as (select distinct l[1:n] as l from (select l, unnest(range(1, len(l))) as n from d)),
 k as (select conv_id, cast(len(d.l) as bigint) as n_turns, n_copies from d anti join p on d.l = p.l)
-select conv_id, cast(floor(coalesce(turn, -1) / 512.0) as bigint) as part, n_turns, n_copies,
-  string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by turn nulls first, role nulls first, text nulls first) as rendered
-from k join t using (conv_id) group by conv_id, part, n_turns, n_copies
+select conv_id, cast(floor(coalesce(turn, -1) / 512.0) as bigint) as part, (place - 1) // 512 as piece, n_turns, n_copies,
+  string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by place) as rendered
+from k join t using (conv_id) group by conv_id, part, piece, n_turns, n_copies
 """

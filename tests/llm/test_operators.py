@@ -238,6 +238,33 @@ def test_snapshots_collapse_to_maximal_conversations(spark):
     assert chat.render_conversations(df.limit(0)).count() == 0
 
 
+def test_turns_of_one_number_come_in_bounded_pieces(spark):
+    rng = random.Random(5)
+    rows = [(1, 7, rng.choice(["user", None]), f"{i:05d} " + "x" * 40) for i in range(3_000)] + [(2, None, "user", str(i)) for i in range(700)] + [(3, i, "user", str(i)) for i in range(1_100)] + [(4, i, "user", str(i)) for i in range(600)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, k int, part int").repartition(5)
+    got = {}
+    for r in sorted(chat.render_conversations(df).collect(), key=lambda r: (r["piece"], r["part"])):
+        assert r["rendered"].count(chat.OPEN) <= chat.BLOCK_TURNS
+        got.setdefault(r["conv_id"], []).append(r)
+    none_first = lambda r: tuple((x is not None, x if x is not None else "") for x in r[1:])
+    for conv in (1, 2, 3):  # 4 is the first turns of 3
+        want = sorted((r for r in rows if r[0] == conv), key=none_first)
+        assert "".join(r["rendered"] for r in got[conv]) == "".join(f"{chat.OPEN}{r[2] or ''}\n{r[3]}{chat.CLOSE}" for r in want)
+        assert {(r["n_turns"], r["n_copies"]) for r in got[conv]} == {(len(want), 1)}
+    assert set(got) == {1, 2, 3} and {r["part"] for r in got[2]} == {-1} and {(r["part"], r["piece"]) for r in got[3]} == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_collapse_equals_brute_force(spark):
+    rng = random.Random(6)
+    logs = {c: [rng.choice(["a", "b", None, ""]) for _ in range(rng.randint(1, 4))] for c in range(80)}
+    rows = [(c, i, "user", t) for c, log in logs.items() for i, t in enumerate(log)]
+    got = sorted((r["conv_id"], r["n_turns"], r["n_copies"]) for r in chat.render_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect())
+    longer = lambda log: any(len(o) > len(log) and o[: len(log)] == log for o in logs.values())
+    want = [(c, len(log), sum(o == log for o in logs.values())) for c, log in logs.items() if not longer(log) and all(o != log or k >= c for k, o in logs.items())]
+    assert got == sorted(want)
+
+
 # 5 pieces
 
 
