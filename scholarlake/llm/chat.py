@@ -8,7 +8,8 @@ conv_id, goes by an anti join; the maximal ones are rendered.
 Places come from a sort of all turns into ranges, prefix hashes from blocks of BLOCK_TURNS places and then from the
 blocks of a conversation, and the joins deal a hot conversation's turns to parts, so that a conversation with a third of
 all rows is not one sort and not one task. Rendered text comes by `part` (BLOCK_TURNS turn numbers; -1 for turns without one) and
-`piece` (BLOCK_TURNS places), so no group is collected without bound, whatever the turn numbers are.
+`piece` (BLOCK_TURNS places), so no group is collected without bound, whatever the turn numbers are. Texts are sorted once and next
+move when they are rendered; prefix hashes come from hashes of turns.
 
 Defined results: turns are ordered by (turn, role, text), nulls first; exact repeats of a turn row count
 once; null role and text render as empty; rows without conv_id are ignored; an empty table gives no rows;
@@ -30,39 +31,49 @@ RANGE_CHARS = 32
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
-def prefix_hashes(conversations: DataFrame) -> DataFrame:
-    """conv_id, n (its turns), part, piece, place (from 1), role, text, p1, p2 of every turn."""
+def numbered_turns(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, h1, h2 (hashes of role and text), at (from 0, in the order of all turns) of the distinct turns, stored."""
     turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").where("conv_id is not null").distinct()
-    numbered = dense_numbers(turns, ["conv_id", "turn", "role", "text"], "at", 0, ["conv_id", "turn", "role", F.substring("text", 1, RANGE_CHARS)])
-    counts = stored(numbered.groupBy("conv_id").agg(F.min("at").alias("first"), F.count("*").alias("k")))
-    placed = dealt_join(numbered, counts.withColumnRenamed("k", "n"), ["conv_id"], ["at"], counts)
-    placed = placed.withColumn("place", F.col("at") - F.col("first") + 1).withColumns({"part": F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK_TURNS), "piece": F.floor((F.col("place") - 1) / BLOCK_TURNS)})
     # nulls are told from empty strings
     filled = lambda c: F.concat(F.col(c).isNull().cast("string"), F.coalesce(c, F.lit("")))
-    placed = placed.withColumns({"t1": F.xxhash64("place", filled("role"), filled("text")), "t2": F.xxhash64(filled("text"), filled("role"), F.lit(1), "place")})
-    over_pieces = Window.partitionBy("conv_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    sums = placed.groupBy("conv_id", "piece").agg(F.bit_xor("t1").alias("s1"), F.bit_xor("t2").alias("s2"))
-    sums = sums.select("conv_id", "piece", *(F.coalesce(F.bit_xor(c).over(over_pieces), F.lit(0)).alias(b) for c, b in (("s1", "b1"), ("s2", "b2"))))
-    running = Window.partitionBy("conv_id", "piece").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    return placed.join(sums, ["conv_id", "piece"]).select("conv_id", "n", "part", "piece", "place", "role", "text", *(F.bit_xor(t).over(running).bitwiseXOR(F.col(b)).alias(p) for t, b, p in (("t1", "b1", "p1"), ("t2", "b2", "p2"))))
+    turns = turns.withColumns({"h1": F.xxhash64(filled("role"), filled("text")), "h2": F.xxhash64(filled("text"), filled("role"), F.lit(1))})
+    return dense_numbers(turns, ["conv_id", "turn", "role", "text"], "at", 0, ["conv_id", "turn", "role", F.substring("text", 1, RANGE_CHARS)])
+
+
+def prefix_hashes(numbered: DataFrame) -> DataFrame:
+    """conv_id, first (its first `at`), n (its turns), place (from 1), p1, p2 of every turn."""
+    counts = stored(numbered.groupBy("conv_id").agg(F.min("at").alias("first"), F.count("*").alias("k")))
+    placed = dealt_join(numbered.select("conv_id", "at", "h1", "h2"), counts.withColumnRenamed("k", "n"), ["conv_id"], ["at"], counts.select("conv_id", "k"))
+    placed = placed.withColumn("place", F.col("at") - F.col("first") + 1).withColumn("piece", F.floor((F.col("place") - 1) / BLOCK_TURNS))
+    placed = placed.select("conv_id", "first", "n", "piece", "place", F.xxhash64("place", "h1", "h2").alias("t1"), F.xxhash64("h2", "h1", "place").alias("t2"))
+    inside = Window.partitionBy("conv_id", "piece").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    running = stored(placed.select("conv_id", "first", "n", "piece", "place", *(F.bit_xor(t).over(inside).alias(s) for t, s in (("t1", "s1"), ("t2", "s2")))))
+    # a piece's last running hash is the whole piece's
+    before = Window.partitionBy("conv_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    ends = running.where((F.col("place") % BLOCK_TURNS == 0) | (F.col("place") == F.col("n")))
+    sums = ends.select("conv_id", "piece", *(F.coalesce(F.bit_xor(s).over(before), F.lit(0)).alias(b) for s, b in (("s1", "b1"), ("s2", "b2"))))
+    # most conversations have one piece, which nothing precedes
+    later = sums.where("piece > 0")
+    base = lambda b: F.coalesce(b, F.lit(0))
+    return running.join(later, ["conv_id", "piece"], "left").select("conv_id", "first", "n", "place", F.col("s1").bitwiseXOR(base("b1")).alias("p1"), F.col("s2").bitwiseXOR(base("b2")).alias("p2"))
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
-    """conv_id, n_turns, n_copies of conversations that are no proper prefix and no later copy of another."""
-    distinct = turns.where("place = n").groupBy("place", "p1", "p2").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
+    """conv_id, first, n_turns, n_copies of conversations that are no proper prefix and no later copy of another."""
+    distinct = turns.where("place = n").groupBy("place", "p1", "p2").agg(F.min(F.struct("conv_id", "first")).alias("c"), F.count("*").alias("n_copies"))
     # proper prefixes: every place but a conversation's last
     inner = turns.where("place < n").select("place", "p1", "p2").distinct()
-    return distinct.join(inner, ["place", "p1", "p2"], "left_anti").select("conv_id", F.col("place").alias("n_turns"), "n_copies")
+    return distinct.join(inner, ["place", "p1", "p2"], "left_anti").select("c.conv_id", "c.first", F.col("place").alias("n_turns"), "n_copies")
 
 
 def render_conversations(conversations: DataFrame) -> DataFrame:
     """conv_id, part, piece, n_turns, n_copies, rendered: the maximal conversations as chat text, in the order of piece, then part."""
-    turns = stored(prefix_hashes(conversations))
-    kept = maximal_conversations(turns)
-    counts = turns.where("place = n").select("conv_id", F.col("n").alias("k"))
+    numbered = numbered_turns(conversations)
+    kept = stored(maximal_conversations(stored(prefix_hashes(numbered))))
+    rows = dealt_join(numbered.select("conv_id", "turn", "role", "text", "at"), kept, ["conv_id"], ["at"], kept.select("conv_id", F.col("n_turns").alias("k")))
+    part, piece = F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK_TURNS), F.floor((F.col("at") - F.col("first")) / BLOCK_TURNS)
     shown = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(CLOSE))
-    rows = dealt_join(turns, kept, ["conv_id"], ["piece"], counts)
-    texts = rows.groupBy("conv_id", "part", "piece", "n_turns", "n_copies").agg(F.array_sort(F.collect_list(F.struct("place", shown.alias("shown")))).alias("all"))
+    texts = rows.groupBy("conv_id", part.alias("part"), piece.alias("piece"), "n_turns", "n_copies").agg(F.array_sort(F.collect_list(F.struct("at", shown.alias("shown")))).alias("all"))
     return texts.select("conv_id", "part", "piece", "n_turns", "n_copies", F.array_join(F.transform("all", lambda x: x["shown"]), "").alias("rendered"))
 
 
