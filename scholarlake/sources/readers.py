@@ -161,6 +161,7 @@ def subset_scan(tables: dict[str, DataFrame], names: list[str] | str, limit: int
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
+    """Seeds of JSON files, each of which holds one seed or a list of them."""
     return spark.read.json(path, multiLine=True)
 
 

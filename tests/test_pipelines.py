@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from scholarlake.plans import pipelines
+from pyspark.sql import functions as F
+
+from scholarlake.plans import more_queries, pipelines, registry
 from scholarlake.sources import readers
 
 
@@ -123,3 +125,11 @@ def test_import_keeps_known_values_and_takes_a_limit(spark):
 
     got = sorted(tuple(r) for r in merge.update_known(current, incoming, ["id"]).collect())
     assert got == [(1, "new", "FR", False), (2, "two", None, False), (3, "three", "VN", False)]
+
+
+def test_seeds_land_in_few_files(spark, tmp_path, monkeypatch):
+    spark.range(25_000).select(F.col("id").alias("s_suppkey")).write.parquet(f"{tmp_path}/sf/supplier.parquet")
+    monkeypatch.setattr(more_queries, "folder", lambda _: f"{tmp_path}/seeds")
+    got = {tuple(r) for r in registry.QUERIES["landed_seeds"](spark, f"{tmp_path}/sf").collect()}
+    assert got == {(f"J{k}", f"https://j{k}.org") for k in range(25_000)}
+    assert len(list((tmp_path / "seeds").glob("part-*"))) <= 3
