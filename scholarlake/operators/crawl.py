@@ -37,8 +37,9 @@ def archive_url(base: str = "base_url", archive: str = "archive_url") -> F.Colum
 
 
 def year_of(text: F.Column) -> F.Column:
-    """The first year from 1900 to 2099 in a text."""
-    return F.regexp_extract(F.coalesce(text, F.lit("")), r"\b(?:19|20)\d{2}\b", 0).try_cast("int")
+    """The first year from 1900 to 2099 in a text, one that stands in brackets before all others: a volume's number may look like a year."""
+    year = lambda pattern: F.regexp_extract(F.coalesce(text, F.lit("")), pattern, 1).try_cast("int")
+    return F.coalesce(year(r"\(((?:19|20)\d{2})\)"), year(r"\b((?:19|20)\d{2})\b"))
 
 
 def _journal_links(pages: DataFrame, depth: int) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scholarlake.operators import closure, crawl, merge, numbering
+from scholarlake.plans import registry, store_queries  # noqa: F401 - registers its queries
 from scholarlake.plans.staged_prune import prune_report, staged_prune
 from scholarlake.sources import versioned
 from scholarlake.streaming import landed
@@ -289,3 +290,15 @@ def test_digests_hold_at_any_partitioning_and_name_the_difference(spark):
     shorter = numbering.differing_leaves(one, numbering.digest_leaves(df.where("k < 650"), ["k"], 16))
     assert sorted(r["leaf"] for r in shorter.collect()) == [40, 41, 42, 43]
     assert numbering.tree_digest(numbering.digest_leaves(df.limit(0), ["k"])) == ""
+
+
+def test_a_volume_number_is_no_year(spark):
+    labels = {"Vol. 1950 (1990) &amp; more": 1990, "Vol. 2001 No. 2 (2019): Spring (2020)": 2019, "Vol. 3 2015": 2015, "1999": 1999, "Vol. 12 (12)": None, None: None}
+    got = spark.createDataFrame([(k,) for k in labels], "label string").select("label", crawl.year_of(F.col("label")).alias("y")).collect()
+    assert {r["label"]: r["y"] for r in got} == labels
+
+
+def test_articles_of_issues_numbered_like_years_equal_the_sql(spark, tmp_path):
+    spark.range(39_580, 39_640).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit("<p>x</p>").alias("html")).write.parquet(f"{tmp_path}/pages.parquet")
+    years = {r["source_url"]: r["publication_year"] for r in registry.QUERIES["crawled_articles"](spark, str(tmp_path)).collect()}
+    assert years == {f"https://j{p // 200}.example.org/article/view/{p}": 2000 + p % 20 if p % 11 and p % 4 else 1980 + p // 20 % 40 for p in range(39_580, 39_640)}
