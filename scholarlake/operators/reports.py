@@ -37,9 +37,9 @@ def article_report(articles: DataFrame, key: str, names: dict[str, tuple[DataFra
     return articles
 
 
-def in_report_order(df: DataFrame, year: str = "publication_year", title: str = "title") -> DataFrame:
-    """Latest year first, unknown years before all, then by title."""
-    return df.orderBy(F.desc_nulls_first(year), F.asc_nulls_last(title))
+def in_report_order(df: DataFrame, year: str = "publication_year", title: str = "title", then: tuple[str, ...] = ()) -> DataFrame:
+    """Latest year first, unknown years before all, then by title, then by the columns `then`."""
+    return df.orderBy(F.desc_nulls_first(year), F.asc_nulls_last(title), *then)
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -133,3 +133,13 @@ def test_seeds_land_in_few_files(spark, tmp_path, monkeypatch):
     got = {tuple(r) for r in registry.QUERIES["landed_seeds"](spark, f"{tmp_path}/sf").collect()}
     assert got == {(f"J{k}", f"https://j{k}.org") for k in range(25_000)}
     assert len(list((tmp_path / "seeds").glob("part-*"))) <= 3
+
+
+def test_equal_titles_of_a_year_rank_by_article(spark, tmp_path):
+    keys = sorted((k + 1_000_003 * i for k in range(1, 40, 2) for i in range(0, 20, 2)), reverse=True)  # titles repeat after 1,000,003 keys
+    orders = spark.createDataFrame([(k,) for k in keys], "o_orderkey long").coalesce(1)
+    orders.select("o_orderkey", F.lit("1-URGENT").alias("o_orderpriority"), F.to_timestamp(F.lit("1995-02-03")).alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    got = registry.QUERIES["ranked_works_report"](spark, str(tmp_path)).orderBy("rank").collect()
+    title = lambda k: f"{k * 7919 % 1_000_003:08d}"
+    assert [r["article_id"] for r in got] == sorted(keys, key=lambda k: (k % 10 != 0, title(k), k))
+    assert [r["rank"] for r in got] == list(range(1, len(keys) + 1))
