@@ -139,7 +139,8 @@ class VersionedTables:
         schema = json.loads(StructType([StructField(f.name, f.dataType) for f in df.schema]).json())
         folder = f"{uuid.uuid4().hex}/{name}"
         path = f"{self.path}/data/{folder}"
-        df.withColumn(BUCKET, self.bucket_of(name, df, buckets)).repartition(buckets, BUCKET).write.partitionBy(BUCKET).parquet(path)
+        # a bucket is as many tasks and files as its size asks for
+        df.withColumn(BUCKET, self.bucket_of(name, df, buckets)).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
         back = self.spark.read.schema(StructType([*df.schema.fields, BUCKET_FIELD])).parquet(path)
         sums = bucket_sums(back)
         old = before["buckets"] if before and before["schema"] == schema else {}

@@ -302,3 +302,15 @@ def test_articles_of_issues_numbered_like_years_equal_the_sql(spark, tmp_path):
     spark.range(39_580, 39_640).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit("<p>x</p>").alias("html")).write.parquet(f"{tmp_path}/pages.parquet")
     years = {r["source_url"]: r["publication_year"] for r in registry.QUERIES["crawled_articles"](spark, str(tmp_path)).collect()}
     assert years == {f"https://j{p // 200}.example.org/article/view/{p}": 2000 + p % 20 if p % 11 and p % 4 else 1980 + p // 20 % 40 for p in range(39_580, 39_640)}
+
+
+def test_a_bucket_is_written_by_as_many_tasks_as_its_size_asks_for(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "100k")
+    try:
+        store = versioned.VersionedTables(spark, str(tmp_path), {"T": ["k"]}, buckets=1)
+        store.commit({"T": spark.range(0, 200_000, 1, 8).select(F.col("id").alias("k"), F.xxhash64("id").alias("v"))}, "w", 0)
+    finally:
+        spark.conf.unset(size)
+    assert len(list(tmp_path.glob("data/*/T/*/part-*"))) > 4
+    assert store.counts() == {"T": 200_000} and store.read()["T"].agg(F.count_distinct("k")).first()[0] == 200_000
