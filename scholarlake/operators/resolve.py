@@ -45,8 +45,9 @@ def match_sources(journals: DataFrame, sources: DataFrame) -> DataFrame:
     journals without ISSN NO_ISSN, the rest NOT_FOUND.
     """
     own = journals.select("journal_id", S.split_issns("issn").alias("issns"))
-    pairs = own.select("journal_id", F.explode("issns").alias("token")).join(sources.select(F.col("id").alias("external_id"), F.explode(S.source_issns("issn", "issn_l")).alias("token")), "token")
-    picked = pairs.groupBy("journal_id").agg(F.min("external_id").alias("external_id"))
+    # one source for each token, so that a token that many share makes no pairs
+    smallest = sources.select(F.col("id").alias("external_id"), F.explode(S.source_issns("issn", "issn_l")).alias("token")).groupBy("token").agg(F.min("external_id").alias("external_id"))
+    picked = own.select("journal_id", F.explode("issns").alias("token")).join(smallest, "token").groupBy("journal_id").agg(F.min("external_id").alias("external_id"))
     owners = picked.groupBy("external_id").agg(F.min("journal_id").alias("owner"))
     found = picked.join(owners, "external_id")
     status = F.when(F.size("issns") == 0, "NO_ISSN").when(F.col("owner").isNull(), "NOT_FOUND").when(F.col("owner") != F.col("journal_id"), "DUPLICATE").otherwise("MATCHED")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -284,3 +285,12 @@ def test_landed_stream_is_repeatable(spark, tmp_path):
     got = spark.read.parquet(out)
     assert rows(got, "title", "abstract", "doi", "volume", "reference_count") == [("A title", "the cat the", "https://doi.org/10.1/a", 12, 1)]
     assert rows(landed.authors_of(readers.read_works(spark, str(src))), "openalex_id", "display_name") == [("A1", "Ann")]
+
+
+def test_a_token_of_many_journals_and_sources_makes_no_pairs(spark):
+    journals = spark.range(60_000).select(F.col("id").alias("journal_id"), F.lit("1234-5678").alias("issn"))
+    sources = spark.range(100, 60_100).select("id", F.array(F.lit("1234-5678")).alias("issn"), F.lit(None).cast("string").alias("issn_l"))
+    out = resolve.match_sources(journals, sources)
+    began = time.perf_counter()
+    assert {r["status"]: (r["n"], r["x"]) for r in out.groupBy("status").agg(F.count("*").alias("n"), F.max("external_id").alias("x")).collect()} == {"MATCHED": (1, 100), "DUPLICATE": (59_999, None)}
+    assert time.perf_counter() - began < 15  # 3,600,000,000 pairs take longer
