@@ -158,6 +158,9 @@ def update_cooccurrence(counts: DataFrame, links: DataFrame, added: DataFrame, r
 #: Bounds on similarities leave this share for rounding.
 SLACK = 1 - 1e-9
 
+#: Up to so many pairs of journals are counted by members, with a row for each pair and task; more are scored pair by pair.
+FEW_PAIRS = 10_000
+
 
 def counted_members(links: DataFrame) -> DataFrame:
     """g, m, f: distinct (journal_id, last column), with the number of journals that have the member, stored once."""
@@ -203,6 +206,29 @@ def _similarities(members: DataFrame, pairs: DataFrame, block: int = 4096) -> Da
     return both.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k")).select("a", "b", (F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).alias("s"))
 
 
+def _sized_pairs(members: DataFrame, min_score: float) -> DataFrame | None:
+    """a, b: all pairs of sets (a < b) whose sizes allow the similarity; None where they may be more than FEW_PAIRS."""
+    sizes = stored(members.groupBy("g").agg(F.count("*").alias("n")))
+    sets = sizes.count()
+    if sets * (sets - 1) // 2 > FEW_PAIRS:
+        return None
+    x, y = (sizes.select(F.col("g").alias(end), F.col("n").alias(n)) for end, n in (("a", "na"), ("b", "nb")))
+    fits = F.least("na", "nb") >= F.greatest("na", "nb") * (max(min_score, 0.0) * SLACK)
+    return x.join(y, (F.col("a") < F.col("b")) & fits).select("a", "b")
+
+
+def _few_similarities(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """As _similarities, for at most FEW_PAIRS pairs: a member's sets, which are then few, meet at the member, and tasks add up their pairs before any is shuffled."""
+    sizes = members.groupBy("g").agg(F.count("*").alias("n"))
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct()
+    mine = members.where("f > 1").join(F.broadcast(asked), "g", "left_semi")
+    met = mine.select("m", F.col("g").alias("a")).join(mine.select("m", F.col("g").alias("b")), "m").where("a < b")
+    both = met.join(F.broadcast(pairs), ["a", "b"], "left_semi").groupBy("a", "b").agg(F.count("*").alias("k"))
+    for end, n in (("a", "na"), ("b", "nb")):
+        both = both.join(sizes.select(F.col("g").alias(end), F.col("n").alias(n)), end)
+    return both.select("a", "b", (F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).alias("s"))
+
+
 def similar_journals(links: dict[str, DataFrame], min_score: float = 0.1) -> DataFrame:
     """a, b, similarity_score: mean Jaccard similarity of journals over link sets (journal_id, member). The formula is ours.
 
@@ -210,8 +236,14 @@ def similar_journals(links: dict[str, DataFrame], min_score: float = 0.1) -> Dat
     a journal are ignored; a link without a member is in its journal's size and in common with nothing.
     """
     members = [counted_members(df) for df in links.values()]
-    pairs = stored(reduce(DataFrame.unionByName, (similarity_candidates(m, min_score) for m in members)).distinct())
-    total = reduce(DataFrame.unionByName, (_similarities(m, pairs) for m in members)).groupBy("a", "b").agg((F.sum("s") / len(members)).alias("similarity_score"))
+
+    def candidates(m: DataFrame) -> DataFrame:
+        every = _sized_pairs(m, min_score)
+        return similarity_candidates(m, min_score) if every is None else every
+
+    pairs = stored(reduce(DataFrame.unionByName, map(candidates, members)).distinct())
+    scored = _few_similarities if pairs.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS else _similarities
+    total = reduce(DataFrame.unionByName, (scored(m, pairs) for m in members)).groupBy("a", "b").agg((F.sum("s") / len(members)).alias("similarity_score"))
     return total.where(F.col("similarity_score") >= min_score)
 
 

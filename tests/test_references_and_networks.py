@@ -109,3 +109,16 @@ def test_similar_journals_equal_all_pairs_with_fewer_candidates(spark):
         assert {(a, b) for i, a in enumerate(every) for b in every[i + 1 :] if similarity(sets["authors"], a, b) >= least if a in sets["authors"] and b in sets["authors"]} <= pairs
     assert len(found[0.1]) < shared / 2 and len(found[0.5]) < shared / 20
     assert graph.similar_journals({"authors": frames["authors"].limit(0)}).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 40, 10_000])
+def test_few_journals_of_many_members_are_counted_by_members(spark, monkeypatch, few):
+    rng = random.Random(4)
+    sets = {j: {m for m in range(300) if rng.random() < 0.1 * j} for j in range(1, 10)}
+    frame = spark.createDataFrame([(j, m) for j, s in sets.items() for m in s] * 2, "journal_id long, m long")
+    monkeypatch.setattr(graph, "FEW_PAIRS", few)
+    used, plain = [], graph._similarities
+    monkeypatch.setattr(graph, "_similarities", lambda *a: used.append(1) or plain(*a))
+    got = {(r["a"], r["b"]): r["similarity_score"] for r in graph.similar_journals({"parts": frame}, 0.2).collect()}
+    want = {(a, b): s for a in sets for b in sets if a < b and (s := len(sets[a] & sets[b]) / len(sets[a] | sets[b])) >= 0.2}
+    assert got == pytest.approx(want) and bool(used) == (few == 0)
