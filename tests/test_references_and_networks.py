@@ -122,3 +122,17 @@ def test_few_journals_of_many_members_are_counted_by_members(spark, monkeypatch,
     got = {(r["a"], r["b"]): r["similarity_score"] for r in graph.similar_journals({"parts": frame}, 0.2).collect()}
     want = {(a, b): s for a in sets for b in sets if a < b and (s := len(sets[a] & sets[b]) / len(sets[a] | sets[b])) >= 0.2}
     assert got == pytest.approx(want) and bool(used) == (few == 0)
+
+
+def test_followers_of_one_table_are_not_written(spark, monkeypatch):
+    written, store = [], references.stored
+    monkeypatch.setattr(references, "stored", lambda df: written.append(df.columns) or store(df))
+    tables = {"Paper": spark.createDataFrame([(i, i // 2) for i in range(1, 40)], "paper_id long, cites long"), "Wrote": spark.createDataFrame([(i, i % 7) for i in range(60)] + [(9, None)], "paper_id long, person_id long"), "Person": spark.createDataFrame([(i,) for i in range(5)], "person_id long")}
+    keys = {"Paper": ["paper_id"], "Wrote": ["paper_id", "person_id"], "Person": ["person_id"]}
+    R = references.Reference
+    out = references.subset(tables, keys, (R("Paper", "cites", "Paper"), R("Wrote", "paper_id", "Paper", follows=True), R("Wrote", "person_id", "Person")), {"Paper": tables["Paper"].where("paper_id = 37")})
+    papers = [1, 2, 4, 9, 18, 37]
+    assert sorted(r["paper_id"] for r in out["Paper"].collect()) == papers
+    assert sorted(tuple(r) for r in out["Wrote"].collect()) == [(p, p % 7) for p in papers]
+    assert sorted(r["person_id"] for r in out["Person"].collect()) == sorted({p % 7 for p in papers} & set(range(5)))
+    assert ["paper_id", "person_id"] not in written
