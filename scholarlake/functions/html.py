@@ -8,15 +8,26 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
 META = r"(?is)<meta\s[^>]*\b(?:name|property)\s*=\s*[\"']([^\"']+)[\"'][^>]*?\bcontent\s*=\s*[\"']([^\"']*)[\"']"
 
 
-@F.pandas_udf(StringType())
-def html_unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+#: What html.unescape looks at: a reference, and a lone & with what follows it up to 32 characters.
+ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _characters(entities: pd.Series) -> pd.Series:
+    return entities.map(lambda found: [html.unescape(x) for x in found], na_action="ignore")
+
+
+def html_unescape(c: Column) -> Column:
+    """html.unescape of a text; Python sees its entities alone, however long the text is."""
+    between = F.split(c, ENTITY, -1)
+    put = F.concat(_characters(F.regexp_extract_all(c, F.lit(f"({ENTITY})"), F.lit(1))), F.array(F.lit("")))
+    return F.array_join(F.zip_with(between, put, lambda text, char: F.concat(text, char)), "")
 
 
 @F.pandas_udf(StringType())

@@ -101,3 +101,17 @@ def test_meta_tags_by_property(spark):
     ]
     pages = spark.createDataFrame(list(enumerate(head)), "page_id long, html string")
     assert {r["page_id"]: r["title"] for r in html.article_details(pages).collect()} == {0: "Only & here", 1: "First", 2: "Last key counts", 3: None}
+
+
+def test_python_sees_entities_alone(spark, monkeypatch):
+    import html as plain
+
+    from pyspark.sql import functions as F
+
+    from scholarlake.functions import html
+
+    texts = ["", "&amp", "&amp;lt;", "a &lt;b&gt; &notit; &#39;&#x41;&#65 &#0; &#xD800; &bogus; & x &&amp;", "&NewLine;|&#10;", "&" + "a" * 40, "é&eacute;😀&#128512;", "x" * 100_000 + "&copy;", None, "&#;&#x;", "&lt", "a&amp;b" * 50]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").select("i", html.html_unescape(F.col("t")).alias("t")).collect()
+    assert {r["i"]: r["t"] for r in got} == {i: None if t is None else plain.unescape(t) for i, t in enumerate(texts)}
+    sent = spark.createDataFrame([("x" * 100_000 + "&copy;",)], "t string").select(html.html_unescape(F.col("t")))
+    assert "regexp_extract_all" in sent._jdf.queryExecution().optimizedPlan().toString().split("ArrowEvalPython")[1]
