@@ -1,7 +1,7 @@
 """Whole flows over tables: ranking import, works sync, manifest prune, subset copies, graph build.
 
-Each takes the current tables by name and returns the next ones; nothing is written here, so a dry run is
-a run whose result is not stored.
+Each takes the current tables by name and returns the next ones; no table is written here, so a dry run is
+a run whose result is not stored. What several tables are made of is written once, as scratch.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from scholarlake.functions import scalars as S
 from scholarlake.operators import closure, graph, merge, rankings, reports, resolve, selection
 from scholarlake.sources import readers
+from scholarlake.sources.scratch import stored
 from scholarlake.streaming import landed
 
 
@@ -59,13 +60,14 @@ def sync_works(works: DataFrame, tables: dict[str, DataFrame]) -> dict[str, Data
     """Topic, Volume, Issue, Article, Author, Author_Article, Keyword and Keyword_Article after landed works; new rows get xxhash64 ids.
 
     Works with a journal_id get their volume and issue where the tables hold Volume and Issue. A work is the article of
-    its DOI, else that of its title and issue.
+    its DOI, else that of its title and issue. Works are read once, and so are their matches to articles and those of authors.
     """
     out, none = dict(tables), F.lit(None).cast("long")
     if "journal_id" not in works.columns:
         works = works.withColumn("journal_id", none)
     keyed = works.withColumn("work_key", S.row_hash("id", "title", "doi", "publication_year", F.col("biblio.volume"), F.col("biblio.issue"), "journal_id"))
-    arts = landed.articles_of(keyed, "work_key", "journal_id")
+    keyed = stored(landed.articles_of(keyed, "work_key", "journal_id", "authorships", "keywords"))
+    arts = keyed.drop("authorships", "keywords")
     topics = arts.where("topic is not null").groupBy(F.col("topic").alias("display_name")).agg(F.max("topic_score").alias("score"))
     incoming_topics = topics.select("display_name", none.alias("subject_area_id"), none.alias("subject_category_id"), "score")
     filled = merge.fill_topics(tables["Topic"], incoming_topics)
@@ -75,14 +77,14 @@ def sync_works(works: DataFrame, tables: dict[str, DataFrame]) -> dict[str, Data
         out["Volume"], out["Issue"], arts = merge.volumes_and_issues(arts, tables["Volume"], tables["Issue"])
     else:
         arts = arts.withColumn("issue_id", none)
-    resolved = merge.resolve_works(tables["Article"], arts.join(ids, "topic", "left"))
+    resolved = stored(merge.resolve_works(tables["Article"], arts.join(ids, "topic", "left")))
     out["Article"] = merge.full_upsert(tables["Article"], resolved.withColumn("is_deleted", F.lit(False)).select(*tables["Article"].columns), ["article_id"])
     articles = resolved.select("work_key", "article_id").distinct()
 
     person = lambda a: S.row_hash(S.id_tail(F.col(f"{a}.id")), S.orcid_url(F.col(f"{a}.orcid")), F.col(f"{a}.display_name"))
-    people = landed.authors_of(works).withColumn("row_id", S.row_hash("openalex_id", "orcid", "display_name"))
+    people = landed.authors_of(keyed).withColumn("row_id", S.row_hash("openalex_id", "orcid", "display_name"))
     known = resolve.resolve_authors(people, tables["Author"])
-    assigned = people.join(known, "row_id").withColumn("author_id", F.coalesce("author_id", "row_id"))
+    assigned = stored(people.join(known, "row_id").withColumn("author_id", F.coalesce("author_id", "row_id")))
     fresh = assigned.where("step is null").select("author_id", "orcid", "openalex_id", "display_name")
     out["Author"] = tables["Author"].unionByName(merge.latest(fresh, ["author_id"]), allowMissingColumns=True)
     listed = keyed.select("work_key", F.explode("authorships.author").alias("a")).select("work_key", person("a").alias("row_id"))

@@ -105,7 +105,8 @@ def read_works(spark: SparkSession, path: str) -> DataFrame:
 def works_of(pages: DataFrame) -> DataFrame:
     """Works of pages (results), with the pages' other columns but for their envelope."""
     own = [c for c in pages.columns if c not in ("results", "meta")]
-    return pages.select(*own, F.explode("results").alias("w")).select("w.*", *own).where("title is not null")
+    # outer: before a plain explode Spark filters on the array's size, which parses a page's text once more for each filter
+    return pages.select(*own, F.explode_outer("results").alias("w")).select("w.*", *own).where("title is not null")
 
 
 def read_page(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scholarlake.plans import more_queries, pipelines, registry
+from scholarlake.plans import flow_queries, more_queries, pipelines, registry
 from scholarlake.sources import readers
 
 
@@ -80,6 +80,22 @@ def test_graph(spark):
     assert g["TOPIC_RELATED_TO"].count() == 1 and g["WRITES"].count() == 3
 
 
+def test_works_sync_reads_each_work_once(spark):
+    pages = spark.createDataFrame([(i, f"W{i}") for i in range(20)], "k int, i string")
+    work = "named_struct('id', i, 'title', concat('Title ', k), 'doi', string(null), 'publication_year', 2000, 'cited_by_count', bigint(0), 'referenced_works', array('r'), 'referenced_works_count', bigint(1), 'abstract_inverted_index', map('a', array(0)), 'biblio', named_struct('volume', '1', 'issue', '2'), 'primary_topic', named_struct('display_name', 'T', 'score', 0.5D), 'authorships', array(named_struct('author', named_struct('id', i, 'orcid', string(null), 'display_name', i))), 'keywords', array(named_struct('display_name', 'K', 'score', 0.5D)))"
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(x):
+        seen.add(1)
+        return x
+
+    works = pages.selectExpr(f"array({work}) as results", "bigint(4) as journal_id").select("journal_id", F.inline("results"))
+    works = works.withColumn("id", F.udf(read, "string")("id"))
+    out = pipelines.sync_works(works, {n: spark.createDataFrame([], s) for n, s in flow_queries.SYNC_TABLES.items()})
+    assert {n: df.count() for n, df in out.items()} == {"Topic": 1, "Volume": 1, "Issue": 1, "Article": 20, "Author": 20, "Author_Article": 20, "Keyword": 1, "Keyword_Article": 20}
+    assert seen.value == 20
+
+
 def test_works_sync_is_idempotent(spark):
     t = empty(
         spark,
