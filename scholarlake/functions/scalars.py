@@ -76,10 +76,15 @@ def loose_issns(c: Column | str) -> Column:
     return F.filter(F.split(F.coalesce(col(c), F.lit("")), r"[,\s]+"), lambda x: F.length(x) >= 8)
 
 
+def once(value: Column, f) -> Column:
+    """f(value), in which value is computed once however often f names it; a column that a lambda names is computed at each element."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def first_of_each(names: Column, key) -> Column:
     """Array without later elements whose key came before."""
-    keys = F.transform(names, key)
-    return F.filter(names, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    kept = lambda xs: once(F.transform(xs, key), lambda keys: F.filter(xs, lambda x, i: F.array_position(keys, F.element_at(keys, i + 1)) == i + 1))
+    return once(names, kept)
 
 
 def split_subject_names(c: Column | str) -> Column:
@@ -101,7 +106,7 @@ def parse_categories(c: Column | str) -> Column:
         marked = chunk.rlike(_QUARTILE)
         quartile = F.when(marked, F.regexp_extract(chunk, _QUARTILE, 2))
         name = F.when(marked, F.regexp_extract(chunk, _QUARTILE, 1)).otherwise(chunk)
-        return F.transform(split_subject_names(name), lambda n: F.struct(n.alias("name"), quartile.alias("quartile")))
+        return once(quartile, lambda q: F.transform(split_subject_names(name), lambda n: F.struct(n.alias("name"), q.alias("quartile"))))
 
     found = F.flatten(F.transform(chunks, pairs))
     return first_of_each(found, lambda x: F.concat_ws("|", F.lower(x["name"]), F.coalesce(x["quartile"], F.lit(""))))

@@ -502,8 +502,9 @@ def normalized_numbers(t: Tables) -> DataFrame:
 @query("select p_partkey, case when p_partkey % 3 = 0 then p_brand else p_brand || '|' || p_type end as names, 'Q' || (1 + p_size % 4) as best from part")
 def subject_categories(t: Tables) -> DataFrame:
     text = F.concat(F.col("p_brand"), F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" AND "), F.lower("p_brand"))).otherwise(F.concat(F.lit(", "), "p_type")), F.lit(" (Q"), (1 + F.col("p_size") % 4).cast("string"), F.lit(")"))
-    found = S.parse_categories(text)
-    return t.part.select("p_partkey", F.array_join(F.transform(found, lambda x: x["name"]), "|").alias("names"), S.best_quartile(F.transform(found, lambda x: x["quartile"])).alias("best"))
+    both = S.once(S.parse_categories(text), lambda found: F.struct(F.array_join(F.transform(found, lambda x: x["name"]), "|").alias("names"), S.best_quartile(F.transform(found, lambda x: x["quartile"])).alias("best")))
+    # dealt anew: a file of few row groups would be few tasks
+    return t.part.repartition("p_partkey").select("p_partkey", both.alias("b")).select("p_partkey", "b.names", "b.best")
 
 
 @query("select p_partkey, lpad(cast(p_partkey as varchar), 8, '0') || '|' || lpad(cast(p_partkey as varchar), 7, '0') || 'X' as strict, cast(1 as bigint) as loose from part")

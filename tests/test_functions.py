@@ -115,3 +115,13 @@ def test_python_sees_entities_alone(spark, monkeypatch):
     assert {r["i"]: r["t"] for r in got} == {i: None if t is None else plain.unescape(t) for i, t in enumerate(texts)}
     sent = spark.createDataFrame([("x" * 100_000 + "&copy;",)], "t string").select(html.html_unescape(F.col("t")))
     assert "regexp_extract_all" in sent._jdf.queryExecution().optimizedPlan().toString().split("ArrowEvalPython")[1]
+
+
+def test_categories_are_split_once_for_many_names(spark):
+    import time
+
+    names = [f"Name {i}" for i in range(300)]
+    began = time.perf_counter()
+    got = one(spark, ", ".join([*names, "name 7"]) + " (Q2)", S.parse_categories("v"))
+    assert [(x["name"], x["quartile"]) for x in got] == [(n, "Q2") for n in names]
+    assert time.perf_counter() - began < 30  # names parsed anew at each element take minutes
