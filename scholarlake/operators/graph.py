@@ -102,22 +102,28 @@ def placeholder_nodes(citations: DataFrame) -> DataFrame:
     return citations.where("placeholder").select(F.col("ref").alias("id")).distinct()
 
 
+#: Links that one task of cooccurrence packs and pairs; a few hundred bytes each, with its pairs.
+LINKS_A_TASK = 250_000
+
+
 def cooccurrence(links: DataFrame, group: str, member: str, count: str = "n", block: int = 256) -> DataFrame:
     """a, b, n: in how many groups two members (a < b) are together.
 
     Pairs are made inside each row of a bounded block pair, so that a group of any size is never one
     task's work: a group's members are numbered into blocks of `block`, and block pairs meet by join.
     """
-    distinct = links.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(F.col(group).alias("g"), F.col(member).alias("m")).distinct()
-    sized = distinct.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    dealt = distinct.join(sized, "g").withColumn("own", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int"))
-    packed = dealt.groupBy("g", "blocks", "own").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+    # tasks of bounded memory: as many as the links ask for, where Spark would take what its shuffle partitions hold
+    tasks = max(int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(links.count() / LINKS_A_TASK))
+    known = links.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(F.col(group).alias("g"), F.col(member).alias("m"))
+    distinct = known.repartition(tasks, "g").distinct()
+    dealt = distinct.withColumn("blocks", F.ceil(F.count("*").over(Window.partitionBy("g")) / block).cast("int"))
+    pack = lambda rows: rows.withColumn("own", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int")).groupBy("g", "blocks", "own").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+    one, packed = F.col("blocks") == 1, pack(dealt.where("blocks > 1"))
     left = packed.select("g", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), F.col("ms").alias("xs"))
     right = packed.select("g", F.col("own").alias("j"), F.col("ms").alias("ys"))
-    one = F.col("blocks") == 1
     # most groups are one block: their pairs need no join
-    alone = packed.where(one).select("g", F.col("ms").alias("xs"), F.col("ms").alias("ys"), F.lit(True).alias("same"))
-    many = left.join(right, ["g", "j"]).join(sized.where(~one).select("g"), "g", "left_semi").select("g", "xs", "ys", (F.col("i") == F.col("j")).alias("same"))
+    alone = pack(dealt.where(one)).select("g", F.col("ms").alias("xs"), F.col("ms").alias("ys"), F.lit(True).alias("same"))
+    many = left.join(right, ["g", "j"]).select("g", "xs", "ys", (F.col("i") == F.col("j")).alias("same"))
     pairs = alone.unionByName(many).select("same", F.explode("xs").alias("x"), "ys").select("same", "x", F.explode("ys").alias("y")).where((F.col("x") < F.col("y")) | (~F.col("same") & (F.col("x") > F.col("y"))))
     return pairs.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias(count))
 

@@ -76,6 +76,15 @@ def test_a_network_after_batches_equals_a_rebuild(spark, block):
         assert rows(counts) == rows(graph.cooccurrence(frame(sorted(now)), "g1", "m1"))
 
 
+def test_cooccurrence_takes_more_tasks_for_more_links(spark, monkeypatch):
+    links = spark.createDataFrame([(i // 4, i % 7) for i in range(400)] + [(-1, i) for i in range(30)], "g1 long, m1 long")
+    want = rows(graph.cooccurrence(links, "g1", "m1"))
+    monkeypatch.setattr(graph, "LINKS_A_TASK", 10)
+    many = graph.cooccurrence(links, "g1", "m1", block=8)
+    assert rows(many) == want and len(want) >= 30 * 29 // 2
+    assert "RepartitionByExpression [g" in (plan := many._jdf.queryExecution().analyzed().toString()) and "], 43" in plan
+
+
 def test_trends_see_gaps(spark):
     df = spark.createDataFrame([(1, 2000, 1.0, "Q2"), (1, 2000, 3.0, "Q1"), (1, 2003, 5.0, "-"), (1, 2004, 4.0, "Q4"), (2, 2001, None, None), (None, 2001, 1.0, "Q1")], "j long, y int, s double, q string")
     assert rows(graph.metric_trends(df, "j", "y", "s", "q")) == [(1, 2000, 2.0, 1, None, None, None), (1, 2003, 5.0, None, 3.0, None, 2), (1, 2004, 4.0, 4, -1.0, None, 0), (2, 2001, None, None, None, None, None)]
