@@ -13,9 +13,13 @@ from scholarlake.sources.readers import WORKS_PAGE, works_of
 from scholarlake.sources.versioned import VersionedTables
 
 
-def works_stream(spark: SparkSession, path: str, files_per_trigger: int = 100, multi_line: bool = True) -> DataFrame:
-    """Works of pages as they land, one a file or, without `multi_line`, one a line; the checkpoint remembers which files were read."""
-    return works_of(spark.readStream.schema(WORKS_PAGE).option("maxFilesPerTrigger", files_per_trigger).option("multiLine", multi_line).json(path))
+def works_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 100, multi_line: bool = True) -> DataFrame:
+    """Works of pages as they land, one a file or, without `multi_line`, one a line; the checkpoint remembers which files were read.
+
+    A batch is so many files or, with None, all that have landed since the last one.
+    """
+    reader = spark.readStream.schema(WORKS_PAGE).option("multiLine", multi_line)
+    return works_of((reader if files_per_trigger is None else reader.option("maxFilesPerTrigger", files_per_trigger)).json(path))
 
 
 def articles_of(works: DataFrame, *keep: str) -> DataFrame:
@@ -60,18 +64,15 @@ def merge_writer(store: VersionedTables, writer: str, merge: Callable[[DataFrame
     """A batch function that merges batch N into the newest version and commits the tables that the merge returns as the next.
 
     A batch that comes again after its commit changes nothing; one that broke before it is merged anew into the same version.
+    A merge that reads its batch more than once should store what it takes of it, as pipelines.sync_works does.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         done = store.writer(writer)
         if done is not None and done["sequence"] >= batch_id:
             return
-        batch = batch.persist()
-        try:
-            tables = store.read()
-            merged = merge(batch, tables)
-            store.commit({n: df for n, df in merged.items() if df is not tables.get(n)}, writer, batch_id)
-        finally:
-            batch.unpersist()
+        tables = store.read()
+        merged = merge(batch, tables)
+        store.commit({n: df for n, df in merged.items() if df is not tables.get(n)}, writer, batch_id)
 
     return apply

@@ -314,3 +314,13 @@ def test_a_bucket_is_written_by_as_many_tasks_as_its_size_asks_for(spark, tmp_pa
         spark.conf.unset(size)
     assert len(list(tmp_path.glob("data/*/T/*/part-*"))) > 4
     assert store.counts() == {"T": 200_000} and store.read()["T"].agg(F.count_distinct("k")).first()[0] == 200_000
+
+
+def test_all_that_has_landed_is_one_batch(spark, tmp_path):
+    pages = spark.range(6).selectExpr("""concat('{"results":[{"title":"T', id, '"}]}') as value""").repartition(3)
+    seen = {}
+    for _ in range(2):
+        pages.write.mode("append").text(f"{tmp_path}/pages")
+        stream = landed.works_stream(spark, f"{tmp_path}/pages", None, multi_line=False)
+        landed.run_batches(stream, lambda batch, i: seen.update({i: batch.count()}), f"{tmp_path}/state").awaitTermination()
+    assert seen == {0: 6, 1: 6}
