@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scholarlake.functions import scalars as S
@@ -102,18 +102,22 @@ def placeholder_nodes(citations: DataFrame) -> DataFrame:
     return citations.where("placeholder").select(F.col("ref").alias("id")).distinct()
 
 
-#: Links that one task of cooccurrence packs and pairs; a few hundred bytes each, with its pairs.
+#: Links that one task of cooccurrence or link_changes packs; a few hundred bytes each, with its pairs.
 LINKS_A_TASK = 250_000
 
 
+def _tasks(spark: SparkSession, links: int) -> int:
+    """Tasks of bounded memory: as many as the links ask for, where Spark would take what its shuffle partitions hold."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(links / LINKS_A_TASK))
+
+
 def cooccurrence(links: DataFrame, group: str, member: str, count: str = "n", block: int = 256) -> DataFrame:
     """a, b, n: in how many groups two members (a < b) are together.
 
     Pairs are made inside each row of a bounded block pair, so that a group of any size is never one
     task's work: a group's members are numbered into blocks of `block`, and block pairs meet by join.
     """
-    # tasks of bounded memory: as many as the links ask for, where Spark would take what its shuffle partitions hold
-    tasks = max(int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(links.count() / LINKS_A_TASK))
+    tasks = _tasks(links.sparkSession, links.count())
     known = links.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(F.col(group).alias("g"), F.col(member).alias("m"))
     distinct = known.repartition(tasks, "g").distinct()
     dealt = distinct.withColumn("blocks", F.ceil(F.count("*").over(Window.partitionBy("g")) / block).cast("int"))
@@ -128,39 +132,60 @@ def cooccurrence(links: DataFrame, group: str, member: str, count: str = "n", bl
     return pairs.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias(count))
 
 
-def _members(links: DataFrame, group: str, member: str) -> DataFrame:
-    return links.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(F.col(group).alias("g"), F.col(member).alias("m")).distinct()
-
+def link_changes(links: DataFrame | None, added: DataFrame, removed: DataFrame, group: str, member: str, block: int = 256, change: str | None = None) -> DataFrame:
+    """g, blocks, own, ms: what a batch does to the links of the groups that it names, packed into blocks of about `block` members.
 
-def _pairs_with(some: DataFrame, whole: DataFrame, block: int) -> DataFrame:
-    """a, b, k: in how many groups two members (a < b) of `whole` are together, of which at least one is in `some`, a part of it.
-
-    A group's members in `whole` are dealt to parts of about `block` by a hash, and its few members in `some` go to each part.
+    `ms` holds (m, k): k is 0 for a link that stays, 1 for a new one and -1 for one that is gone; a link that is removed and added again
+    stays. With the column `change`, `links` are the changes that made them, which add up to 1 where a link is; None are no links. Links
+    of groups that the batch does not name are read once and go no further. Who reads the changes more than once stores them.
     """
-    sizes = whole.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    touched = some.select("g").distinct()
-    marked = whole.join(touched, "g", "left_semi").join(some.withColumn("new", F.lit(True)), ["g", "m"], "left").join(sizes, "g")
-    right = marked.select("g", F.pmod(F.xxhash64("m"), F.col("parts")).cast("int").alias("part"), F.col("m").alias("y"), F.coalesce("new", F.lit(False)).alias("both"))
-    left = some.join(sizes, "g").select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("m").alias("x"))
-    met = left.join(right, ["g", "part"]).where((F.col("x") != F.col("y")) & (~F.col("both") | (F.col("x") < F.col("y"))))
-    return met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("k"))
-
-
-def update_cooccurrence(counts: DataFrame, links: DataFrame, added: DataFrame, removed: DataFrame, group: str, member: str, count: str = "n", block: int = 4096) -> DataFrame:
-    """The network `counts` (a, b, n) of `links` after links were added and others removed; equal to cooccurrence of the new links.
-
-    Only pairs with an added or a removed member are made; groups that did not change are not read beyond their keys.
+    tasks = _tasks(added.sparkSession, (links.count() if links is not None else 0) + added.count())
+    known = F.col(group).isNotNull() & F.col(member).isNotNull()
+    marked = lambda df, was, bit: df.where(known).select(F.col(group).alias("g"), F.col(member).alias("m"), was.cast("long").alias("was"), F.lit(bit).alias("bit"))
+    seen = marked(added, F.lit(0), 1).unionByName(marked(removed, F.lit(0), 2))
+    if links is not None:
+        named = seen.select("g").repartition(tasks, "g").distinct()
+        seen = seen.unionByName(marked(links, F.col(change) if change else F.lit(1), 0).join(named, "g", "left_semi"))
+    links_of = seen.repartition(tasks, "g").groupBy("g", "m").agg(F.sum("was").alias("was"), F.bit_or("bit").alias("bit"))
+    was, now = F.expr("was > 0"), F.expr("bit & 1 = 1 or was > 0 and bit = 0")
+    dealt = links_of.where(was | now).withColumn("blocks", F.ceil(F.count("*").over(Window.partitionBy("g")) / block).cast("int"))
+    k = F.when(was & now, 0).when(now, 1).otherwise(-1).cast("long").alias("k")
+    return dealt.withColumn("own", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int")).groupBy("g", "blocks", "own").agg(F.collect_list(F.struct("m", k)).alias("ms"))
+
+
+def changed_links(changes: list[DataFrame], group: str, member: str) -> DataFrame:
+    """group, member, k: the new (1) and gone (-1) links of batches; over all batches of a network they add up to its links."""
+    every = reduce(DataFrame.unionByName, changes).select("g", F.explode("ms").alias("x")).where("x.k <> 0")
+    return every.select(F.col("g").alias(group), F.col("x.m").alias(member), F.col("x.k").alias("k"))
+
+
+def _changed_pairs(changes: DataFrame) -> DataFrame:
+    """a, b, k: 1 for each group that brings two members (a < b) together since the batch, -1 for each that no longer does.
+
+    Each pair has a new or a gone member; those of a block of a larger group meet all its blocks.
     """
-    old = _members(links, group, member)
-    gone = _members(removed, group, member).join(old, ["g", "m"], "left_semi")
-    rest = old.join(gone, ["g", "m"], "left_anti")
-    new = _members(added, group, member).join(rest, ["g", "m"], "left_anti")
-    plus = _pairs_with(new, rest.unionByName(new), block)
-    minus = _pairs_with(gone, old, block).withColumn("k", -F.col("k"))
-    every = counts.select("a", "b", F.col(count).alias("k")).unionByName(plus).unionByName(minus)
+    some = changes.where("exists(ms, x -> x.k <> 0)").withColumn("xs", F.filter("ms", lambda x: x["k"] != 0))
+    # most groups are one block: their pairs need no join
+    alone = some.where("blocks = 1").select("xs", "ms")
+    left = some.where("blocks > 1").select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"), "xs")
+    many = left.join(changes.where("blocks > 1").select("g", "own", "ms"), ["g", "own"]).select("xs", "ms")
+    pairs = alone.unionByName(many).select(F.explode("xs").alias("x"), "ms").select("x", F.explode("ms").alias("y"))
+    pairs = pairs.where("y.k = 0 or (y.k = x.k and x.m < y.m)")
+    return pairs.select(F.least("x.m", "y.m").alias("a"), F.greatest("x.m", "y.m").alias("b"), "x.k")
+
+
+def merge_changes(changes: list[DataFrame], counts: DataFrame | None = None, count: str = "n") -> DataFrame:
+    """The network (a, b, n) after batches that changed the network `counts`, or nothing; only pairs with an added or a removed member are made."""
+    before = [] if counts is None else [counts.select("a", "b", F.col(count).alias("k"))]
+    every = reduce(DataFrame.unionByName, before + [_changed_pairs(c) for c in changes])
     return every.groupBy("a", "b").agg(F.sum("k").alias(count)).where(F.col(count) > 0)
 
 
+def update_cooccurrence(counts: DataFrame, links: DataFrame, added: DataFrame, removed: DataFrame, group: str, member: str, count: str = "n", block: int = 256) -> DataFrame:
+    """The network `counts` (a, b, n) of `links` after links were added and others removed; equal to cooccurrence of the new links."""
+    return merge_changes([link_changes(links, added, removed, group, member, block)], counts, count)
+
+
 #: Bounds on similarities leave this share for rounding.
 SLACK = 1 - 1e-9
 

@@ -7,6 +7,7 @@ import random
 import pytest
 
 from scholarlake.operators import graph, references, resolve, terms
+from scholarlake.plans import more_queries, registry
 
 
 def rows(df, *columns):
@@ -85,6 +86,48 @@ def test_cooccurrence_takes_more_tasks_for_more_links(spark, monkeypatch):
     assert "RepartitionByExpression [g" in (plan := many._jdf.queryExecution().analyzed().toString()) and "], 43" in plan
 
 
+def test_a_batch_reads_each_link_once_and_makes_no_batch_before_it_again(spark, monkeypatch, tmp_path):
+    rng = random.Random(5)
+    items = [(rng.randrange(120), rng.randrange(30), rng.randrange(1, 8)) for _ in range(900)] + [(i % 5, 40 + i // 5, i % 7 + 1) for i in range(400)]
+    spark.createDataFrame(items, "l_orderkey long, l_suppkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    plans, store = [], more_queries.stored
+    monkeypatch.setattr(more_queries, "stored", lambda df: plans.append(df._jdf.queryExecution()) or store(df))
+    got = registry.QUERIES["network_after_batches"](spark, str(tmp_path))
+    kept = {(o, s) for o, s, n in items if o % 5 != 1 or n % 2 == 0}
+    assert len(kept) < len({(o, s) for o, s, _ in items})
+    assert rows(got) == rows(graph.cooccurrence(spark.createDataFrame(sorted(kept), "g1 long, m1 long"), "g1", "m1"))
+    reads = [p.optimizedPlan().toString().count("Relation [") for p in plans]
+    assert reads and max(reads) <= 7  # changes of each batch before, and twice what the batch adds and removes
+    links = spark.createDataFrame(sorted(kept), "g1 long, m1 long")
+    plan = graph.link_changes(links, links.limit(9), links.limit(5), "g1", "m1")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") <= 3  # all links and the groups of the batch, then the links of these groups
+
+
+def test_changes_of_large_and_small_groups(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LINKS_A_TASK", 10)
+    frame = lambda data: spark.createDataFrame(data, "g1 long, m1 long")
+    old = [(0, m) for m in range(40)] + [(1, 3), (1, 4), (2, 3), (2, 4), (3, 5)]
+    removed = [(0, 7), (0, 8), (1, 4), (3, 5), (9, 9), (2, 3), (None, 1)]
+    added = [(0, 50), (0, 51), (2, 3), (3, 6), (3, 7), (4, 1), (4, 2), (0, 1), (5, None)]
+    changes = graph.link_changes(frame(old), frame(added), frame(removed), "g1", "m1", block=8)
+    after = (set(old) - set(removed)) | {x for x in added if None not in x}
+    assert rows(graph.changed_links([changes], "g1", "m1")) == sorted([(*x, 1) for x in after - set(old)] + [(*x, -1) for x in set(old) - after], key=str)
+    got = graph.merge_changes([changes], graph.cooccurrence(frame(old), "g1", "m1"))
+    assert rows(got) == rows(graph.cooccurrence(frame(sorted(after)), "g1", "m1"))
+    made = rows(graph._changed_pairs(changes))
+    assert len(made) == len(set(made)) == 2 * 38 + 1 + 2 * 38 + 1 + 1 + 1 + 1  # with members that stay and with each other, each once
+    blocks = changes.where("g = 0").collect()
+    assert {b["blocks"] for b in blocks} == {6} and len(blocks) > 3
+    assert changes.where("g = 1").count() == 1 and graph.link_changes(frame(old), frame([(7, 1)]), frame([(8, 8)]), "g1", "m1").count() == 1  # only groups of the batch
+    # links that go, come back and go again, over batches that see only the changes before them
+    none, steps, now = frame([]), [], set()
+    for came, went in ((old, []), (added, removed), ([(0, 7), (1, 4)], added), (old, [(0, 7)]), ([], old), (added[:3], [(0, 50)])):
+        steps.append(spark.createDataFrame((c := graph.link_changes(graph.changed_links(steps, "g1", "m1") if steps else None, frame(came), frame(went), "g1", "m1", 8, "k" if steps else None)).collect(), c.schema))
+        now = (now - set(went)) | {x for x in came if None not in x}
+        assert rows(graph.merge_changes(steps)) == rows(graph.cooccurrence(frame(sorted(now)), "g1", "m1"))
+    assert rows(graph.update_cooccurrence(graph.cooccurrence(none, "g1", "m1"), none, frame(old), none, "g1", "m1", block=8)) == rows(graph.cooccurrence(frame(old), "g1", "m1"))
+
+
 def test_trends_see_gaps(spark):
     df = spark.createDataFrame([(1, 2000, 1.0, "Q2"), (1, 2000, 3.0, "Q1"), (1, 2003, 5.0, "-"), (1, 2004, 4.0, "Q4"), (2, 2001, None, None), (None, 2001, 1.0, "Q1")], "j long, y int, s double, q string")
     assert rows(graph.metric_trends(df, "j", "y", "s", "q")) == [(1, 2000, 2.0, 1, None, None, None), (1, 2003, 5.0, None, 3.0, None, 2), (1, 2004, 4.0, 4, -1.0, None, 0), (2, 2001, None, None, None, None, None)]
