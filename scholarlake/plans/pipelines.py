@@ -56,6 +56,11 @@ def import_ranking(raw: DataFrame, tables: dict[str, DataFrame], year: int, limi
     return out
 
 
+#: Spark takes a column's size as its share of the table's files, whose other columns may be packed to nothing, and so would bring millions
+#: of rows to the driver as a small table. Joins with a side that grows with works or articles sort both sides; those with dimensions are left to Spark.
+GROWS = "merge"
+
+
 def sync_works(works: DataFrame, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Topic, Volume, Issue, Article, Author, Author_Article, Keyword and Keyword_Article after landed works; new rows get xxhash64 ids.
 
@@ -77,24 +82,24 @@ def sync_works(works: DataFrame, tables: dict[str, DataFrame]) -> dict[str, Data
         out["Volume"], out["Issue"], arts = merge.volumes_and_issues(arts, tables["Volume"], tables["Issue"])
     else:
         arts = arts.withColumn("issue_id", none)
-    resolved = stored(merge.resolve_works(tables["Article"], arts.join(ids, "topic", "left")))
-    out["Article"] = merge.full_upsert(tables["Article"], resolved.withColumn("is_deleted", F.lit(False)).select(*tables["Article"].columns), ["article_id"])
-    articles = resolved.select("work_key", "article_id").distinct()
+    resolved = stored(merge.resolve_works(tables["Article"].hint(GROWS), arts.join(ids, "topic", "left")))
+    out["Article"] = merge.full_upsert(tables["Article"].hint(GROWS), resolved.withColumn("is_deleted", F.lit(False)).select(*tables["Article"].columns), ["article_id"])
+    articles = resolved.select("work_key", "article_id").distinct().hint(GROWS)
 
     person = lambda a: S.row_hash(S.id_tail(F.col(f"{a}.id")), S.orcid_url(F.col(f"{a}.orcid")), F.col(f"{a}.display_name"))
     people = landed.authors_of(keyed).withColumn("row_id", S.row_hash("openalex_id", "orcid", "display_name"))
-    known = resolve.resolve_authors(people, tables["Author"])
-    assigned = stored(people.join(known, "row_id").withColumn("author_id", F.coalesce("author_id", "row_id")))
+    known = resolve.resolve_authors(people, tables["Author"].hint(GROWS))
+    assigned = stored(people.join(known.hint(GROWS), "row_id").withColumn("author_id", F.coalesce("author_id", "row_id")))
     fresh = assigned.where("step is null").select("author_id", "orcid", "openalex_id", "display_name")
     out["Author"] = tables["Author"].unionByName(merge.latest(fresh, ["author_id"]), allowMissingColumns=True)
     listed = keyed.select("work_key", F.explode("authorships.author").alias("a")).select("work_key", person("a").alias("row_id"))
-    links = listed.join(assigned.select("row_id", "author_id"), "row_id").join(articles, "work_key").select("author_id", "article_id")
-    out["Author_Article"] = merge.insert_if_absent(tables["Author_Article"], links, ["author_id", "article_id"])
+    links = listed.join(assigned.select("row_id", "author_id").hint(GROWS), "row_id").join(articles, "work_key").select("author_id", "article_id")
+    out["Author_Article"] = merge.insert_if_absent(tables["Author_Article"], links.hint(GROWS), ["author_id", "article_id"])
 
     words = keyed.select("work_key", F.explode("keywords").alias("k")).select("work_key", F.col("k.display_name").alias("display_name"), S.score_or_zero(F.col("k.score")).alias("score")).where("display_name is not null")
     out["Keyword"] = merge.get_or_create(tables["Keyword"], words.select("display_name"), "keyword_id", ["display_name"], hashed=True)
     tagged = words.join(out["Keyword"], "display_name").join(articles, "work_key").select("keyword_id", "article_id", "score")
-    out["Keyword_Article"] = merge.insert_if_absent(tables["Keyword_Article"], tagged.select(*tables["Keyword_Article"].columns), ["keyword_id", "article_id"])
+    out["Keyword_Article"] = merge.insert_if_absent(tables["Keyword_Article"], tagged.select(*tables["Keyword_Article"].columns).hint(GROWS), ["keyword_id", "article_id"])
     return out
 
 

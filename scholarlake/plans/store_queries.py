@@ -104,7 +104,7 @@ def stream_synced_tables(t: Tables) -> DataFrame:
     row = lambda df, name, a, b=None, n=None: df.select(F.lit(name).alias("table_name"), a.alias("a"), (none("string") if b is None else b).alias("b"), (none("long") if n is None else n).alias("n"))
     parts = [
         row(arts, "Article", F.col("a"), F.concat_ws("|", "title", "topic", "publication_year", "place"), F.col("citation_count")),
-        row(out["Author_Article"].join(out["Author"], "author_id").join(named, "article_id"), "Author_Article", F.col("a"), F.col("display_name")),
+        row(out["Author_Article"].join(out["Author"].hint(pipelines.GROWS), "author_id").join(named, "article_id"), "Author_Article", F.col("a"), F.col("display_name")),
         row(out["Keyword_Article"].join(out["Keyword"], "keyword_id").join(named, "article_id"), "Keyword_Article", F.col("a"), F.col("display_name")),
         row(out["Topic"], "Topic", F.col("display_name")),
         row(out["Author"], "Author", F.col("display_name"), F.col("openalex_id")),

@@ -96,6 +96,22 @@ def test_works_sync_reads_each_work_once(spark):
     assert seen.value == 20
 
 
+def test_works_and_articles_are_never_broadcast(spark, monkeypatch):
+    import re
+
+    plans, write = [], pipelines.stored
+    monkeypatch.setattr(pipelines, "stored", lambda df: plans.append(df) or write(df))
+    work = '{"results":[{"title":"T1","doi":"10.1/a","authorships":[{"author":{"id":"https://o/A1","display_name":"Ann"}}],"keywords":[{"display_name":"k","score":0.1}]}]}'
+    pages = spark.createDataFrame([(work, 4)], "j string, journal_id long").selectExpr(f"from_json(j, '{readers.WORKS_PAGE}') as p", "journal_id").select("p.results", "journal_id")
+    tables = {n: write(df) for n, df in empty(spark, **flow_queries.SYNC_TABLES).items()}
+    out = pipelines.sync_works(readers.works_of(pages), tables)
+    # by their files all tables here look small enough to pass through the driver
+    found = [re.findall(r"BroadcastHashJoin \[([^\]]+)\]|(BroadcastNestedLoopJoin)", df._jdf.queryExecution().sparkPlan().toString()) for df in [*plans, *out.values()]]
+    keys = {k for joins in found for join in joins for k in re.findall(r"[a-z_]\w*(?=#)|BroadcastNestedLoopJoin", "".join(join))}
+    assert keys and not keys & {"work_key", "article_id", "row_id", "author_id", "doi", "_k0", "_k1", "_k2", "title", "BroadcastNestedLoopJoin"}, keys
+    assert {n: df.count() for n, df in out.items()} == {"Topic": 0, "Volume": 0, "Issue": 0, "Article": 1, "Author": 1, "Author_Article": 1, "Keyword": 1, "Keyword_Article": 1}
+
+
 def test_works_sync_is_idempotent(spark):
     t = empty(
         spark,
