@@ -7,9 +7,10 @@ conv_id, goes by an anti join; the maximal ones are rendered.
 
 Places come from a sort of all turns into ranges, prefix hashes from blocks of BLOCK_TURNS places and then from the
 blocks of a conversation, and the joins deal a hot conversation's turns to parts, so that a conversation with a third of
-all rows is not one sort and not one task. Rendered text comes by `part` (BLOCK_TURNS turn numbers; -1 for turns without one) and
-`piece` (BLOCK_TURNS places), so no group is collected without bound, whatever the turn numbers are. Texts are sorted once and next
-move when they are rendered; prefix hashes come from hashes of turns.
+all rows is not one sort and not one task. Rendered text comes whole, a row for each conversation (`whole_conversations`, the query), which
+joins texts of BLOCK_TURNS places and so holds one conversation's text in one group; or by `part` (BLOCK_TURNS turn numbers; -1 for turns without
+one) and `piece` (BLOCK_TURNS places), so that no group is collected without bound, whatever the turn numbers are (`render_conversations`).
+Texts are sorted once and next move when they are rendered; prefix hashes come from hashes of turns.
 
 Defined results: turns are ordered by (turn, role, text), nulls first; exact repeats of a turn row count
 once; null role and text render as empty; rows without conv_id are ignored; an empty table gives no rows;
@@ -18,7 +19,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarlake.operators.numbering import dense_numbers
@@ -66,27 +67,39 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
     return distinct.join(inner, ["place", "p1", "p2"], "left_anti").select("c.conv_id", "c.first", F.col("place").alias("n_turns"), "n_copies")
 
 
-def render_conversations(conversations: DataFrame) -> DataFrame:
-    """conv_id, part, piece, n_turns, n_copies, rendered: the maximal conversations as chat text, in the order of piece, then part."""
+def kept_turns(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, at, piece, n_turns, n_copies, shown (the turn as chat text) of the maximal conversations' turns."""
     numbered = numbered_turns(conversations)
     kept = stored(maximal_conversations(stored(prefix_hashes(numbered))))
     rows = dealt_join(numbered.select("conv_id", "turn", "role", "text", "at"), kept, ["conv_id"], ["at"], kept.select("conv_id", F.col("n_turns").alias("k")))
-    part, piece = F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK_TURNS), F.floor((F.col("at") - F.col("first")) / BLOCK_TURNS)
     shown = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(CLOSE))
-    texts = rows.groupBy("conv_id", part.alias("part"), piece.alias("piece"), "n_turns", "n_copies").agg(F.array_sort(F.collect_list(F.struct("at", shown.alias("shown")))).alias("all"))
-    return texts.select("conv_id", "part", "piece", "n_turns", "n_copies", F.array_join(F.transform("all", lambda x: x["shown"]), "").alias("rendered"))
+    return rows.select("conv_id", "turn", "at", F.floor((F.col("at") - F.col("first")) / BLOCK_TURNS).alias("piece"), "n_turns", "n_copies", shown.alias("shown"))
+
+
+def _joined(order: str, text: str) -> Column:
+    """A group's texts in order, as one."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), "")
+
+
+def render_conversations(conversations: DataFrame) -> DataFrame:
+    """conv_id, part, piece, n_turns, n_copies, rendered: the maximal conversations as chat text, in the order of piece, then part."""
+    part = F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK_TURNS)
+    return kept_turns(conversations).groupBy("conv_id", part.alias("part"), "piece", "n_turns", "n_copies").agg(_joined("at", "shown").alias("rendered"))
+
+
+def whole_conversations(conversations: DataFrame) -> DataFrame:
+    """conv_id, part (0), n_turns, n_copies, rendered: each maximal conversation's whole chat text."""
+    pieces = kept_turns(conversations).groupBy("conv_id", "piece", "n_turns", "n_copies").agg(_joined("at", "shown").alias("shown"))
+    whole = pieces.groupBy("conv_id", "n_turns", "n_copies").agg(_joined("piece", "shown").alias("rendered"))
+    return whole.select("conv_id", F.lit(0).cast("long").alias("part"), "n_turns", "n_copies", "rendered")
 
 
 ORACLE = """
-with t as (
-  select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as place
-  from (select distinct conv_id, turn, role, text from conversations where conv_id is not null)
-),
-c as (select conv_id, list({'r': role, 't': text} order by turn nulls first, role nulls first, text nulls first) as l from t group by conv_id),
-d as (select l, min(conv_id) as conv_id, count(*) as n_copies from c group by l),
-p as (select distinct l[1:n] as l from (select l, unnest(range(1, len(l))) as n from d)),
-k as (select conv_id, cast(len(d.l) as bigint) as n_turns, n_copies from d anti join p on d.l = p.l)
-select conv_id, cast(floor(coalesce(turn, -1) / 512.0) as bigint) as part, (place - 1) // 512 as piece, n_turns, n_copies,
-  string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by place) as rendered
-from k join t using (conv_id) group by conv_id, part, piece, n_turns, n_copies
+with t as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
+c as (select conv_id, list({'r': role, 't': text} order by turn nulls first, role nulls first, text nulls first) as l,
+  string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by turn nulls first, role nulls first, text nulls first) as rendered
+  from t group by conv_id),
+d as (select l, min(conv_id) as conv_id, count(*) as n_copies, any_value(rendered) as rendered from c group by l),
+p as (select distinct l[1:n] as l from (select l, unnest(range(1, len(l))) as n from d))
+select conv_id, cast(0 as bigint) as part, cast(len(d.l) as bigint) as n_turns, n_copies, rendered from d anti join p on d.l = p.l
 """

@@ -27,7 +27,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.render_conversations(table(spark, sf_dir, "conversations"))
+    return chat.whole_conversations(table(spark, sf_dir, "conversations"))
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -255,6 +255,26 @@ def test_turns_of_one_number_come_in_bounded_pieces(spark):
     assert set(got) == {1, 2, 3} and {r["part"] for r in got[2]} == {-1} and {(r["part"], r["piece"]) for r in got[3]} == {(0, 0), (1, 1), (2, 2)}
 
 
+def test_a_conversation_is_rendered_whole(spark, tmp_path):
+    import duckdb
+
+    from scholarlake.llm import queries
+
+    rng = random.Random(7)
+    turns = [None, -600, -1, *range(1_300)]
+    rows = [(1, n, rng.choice(["user", None]), f"text {i}") for i, n in enumerate(turns)] + [(2, 7, "user", f"{i:05d}") for i in range(1_100)] + [(3, i, "user", str(i)) for i in range(600)] + [(4, i, "user", str(i)) for i in range(550)]
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: r for r in queries.op4_chat(spark, str(tmp_path)).collect()}
+    assert sorted(got) == [1, 2, 3]  # 4 is the first turns of 3
+    for conv, r in got.items():
+        want = sorted((x for x in rows if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0, x[3]))
+        assert r["rendered"] == "".join(f"{chat.OPEN}{x[2] or ''}\n{x[3]}{chat.CLOSE}" for x in want) and (r["n_turns"], r["n_copies"]) == (len(want), 1)
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    assert sorted(con.execute(f"select conv_id, part, n_turns, n_copies, rendered from ({queries.ORACLES['op4_chat']})").fetchall()) == sorted(tuple(r[c] for c in ("conv_id", "part", "n_turns", "n_copies", "rendered")) for r in got.values())
+
+
 def test_collapse_equals_brute_force(spark):
     rng = random.Random(6)
     logs = {c: [rng.choice(["a", "b", None, ""]) for _ in range(rng.randint(1, 4))] for c in range(80)}
